@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import CELL, SAMPLE, percent
@@ -46,14 +46,14 @@ def detection(counts: DataFrame) -> DataFrame:
 
 
 def surviving_counts(counts: DataFrame, min_features: int) -> DataFrame:
-    """Triplets of cells with at least ``min_features`` detected features."""
-    enough = (
-        counts.groupBy(*CELL)
-        .agg(F.count_if(F.col("n") > 0).alias("n_feature"))
-        .where(F.col("n_feature") >= min_features)
-        .select(*CELL)
-    )
-    return counts.join(enough, CELL, "left_semi")
+    """Triplets of cells with at least ``min_features`` detected features.
+
+    A window over a cell, which has no more rows than there are features, needs
+    one shuffle by cell. What follows per cell reuses that partitioning, and a
+    table bucketed by cell needs no shuffle at all.
+    """
+    detected = F.count_if(F.col("n") > 0).over(Window.partitionBy(*CELL))
+    return counts.withColumn("_f", detected).where(F.col("_f") >= min_features).drop("_f")
 
 
 def kept_features(counts: DataFrame, p: QCParams) -> DataFrame:
@@ -74,14 +74,13 @@ def cell_metrics(counts: DataFrame, features: DataFrame, p: QCParams) -> DataFra
 
     Totals are taken over all features and the share of the rare ones is
     subtracted. A rare feature has fewer than ``load_min_cells`` entries, so
-    the correction is tiny, and the triplets need not be shuffled a second
-    time to drop those features before the totals.
+    the correction is tiny, and the totals need no second shuffle of the
+    triplets by cell after the feature filter.
     """
-    tagged = tag_classes(counts, features, p)
-    totals = cell_totals(tagged).where(F.col("n_feature") >= p.load_min_features)
-    survivors = tagged.join(totals.select(*CELL), CELL, "left_semi")
+    survivors = surviving_counts(counts.select(*CELL, "feature_id", "n"), p.load_min_features)
+    totals = cell_totals(tag_classes(survivors, features, p))
     rare = detection(survivors).where(F.col("n_cells") < p.load_min_cells).select(*FEATURE)
-    minus = cell_totals(survivors.join(rare, FEATURE, "left_semi"))
+    minus = cell_totals(tag_classes(survivors.join(rare, FEATURE, "left_semi"), features, p))
     names = ("n_count", "n_feature", "mt_count", "rb_count")
     minus = minus.select(*CELL, *[F.col(c).alias(f"_{c}") for c in names])
     left = {c: F.col(c) - F.coalesce(F.col(f"_{c}"), F.lit(0)) for c in names}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dropsieve.functions.scalars import CELL, SAMPLE
 from dropsieve.operators import normalise
 from dropsieve.params import EmbedParams
+from dropsieve.session import checkpoint
 
 # Cells whose products one task sums, and partial sums that meet in one task.
 CHUNK_CELLS = 8_192
@@ -126,18 +127,23 @@ def project(entries: DataFrame, axes: DataFrame, cells: DataFrame, p: EmbedParam
 
 
 def scaled_variable(counts: DataFrame, cells: DataFrame, p: EmbedParams) -> tuple[DataFrame, DataFrame]:
-    """Scaled entries and background of the variable features."""
-    norm = normalise.log_normalise(counts, cells, p)
-    chosen = normalise.variable_features(counts, cells, p)
-    used = normalise.restrict_features(norm, chosen)
-    background = normalise.scale_background(used, cells, p)
+    """Scaled entries and background of the variable features.
+
+    The chosen features, their triplets and the background are each read several
+    times and are stored. ``counts`` and ``cells`` should be stored tables too.
+    """
+    chosen = checkpoint(normalise.variable_features(counts, cells, p))
+    few = normalise.restrict_features(counts, chosen)
+    used = checkpoint(normalise.log_normalise(few, cells, p))
+    background = checkpoint(normalise.scale_background(used, cells, p))
     return normalise.scale_entries(used, background, p), background
 
 
 def pca(counts: DataFrame, cells: DataFrame, p: EmbedParams) -> DataFrame:
     """Normalise, choose variable features, scale and project."""
     entries, background = scaled_variable(counts, cells, p)
-    return project(entries, principal_axes(entries, background, p), cells, p)
+    axes = checkpoint(principal_axes(entries, background, p))
+    return project(entries, axes, cells, p)
 
 
 def cell_coordinates(embedded: DataFrame, cells: DataFrame) -> DataFrame:

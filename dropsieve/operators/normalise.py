@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dropsieve.functions.scalars import CELL, SAMPLE
 from dropsieve.params import EmbedParams
@@ -74,7 +75,7 @@ def expected_variance(moments: DataFrame, p: EmbedParams) -> DataFrame:
         out[ok.to_numpy()] = 10.0 ** local_trend(x, y, span)
         return pdf.assign(var_expected=out)
 
-    schema = moments.schema.add("var_expected", "double")
+    schema = T.StructType([*moments.schema.fields, T.StructField("var_expected", T.DoubleType())])
     return moments.groupBy(SAMPLE).applyInPandas(fit, schema)
 
 

@@ -9,6 +9,7 @@ from dropsieve.functions.scalars import CELL, SAMPLE
 from dropsieve.operators.embed import pca
 from dropsieve.operators.neighbours import nearest_neighbours
 from dropsieve.params import EmbedParams
+from dropsieve.session import checkpoint
 
 PREFIX = "synthetic:"
 
@@ -58,11 +59,12 @@ def doublet_scores(
     """
     triplets = counts.select(*CELL, "feature_id", "n")
     pairs = pair_cells(triplets.select(*CELL).distinct(), p.seed)
-    both = triplets.unionByName(synthesise(triplets, pairs))
-    cells = both.groupBy(*CELL).agg(F.sum("n").alias("n_count"))
-    near = nearest_neighbours(pca(both, cells, p), p.k, id_col="barcode", vec_col="pca")
+    both = checkpoint(triplets.unionByName(synthesise(triplets, pairs)))
+    cells = checkpoint(both.groupBy(*CELL).agg(F.sum("n").alias("n_count")))
+    embedded = checkpoint(pca(both, cells, p))
+    near = nearest_neighbours(embedded, p.k, id_col="barcode", vec_col="pca")
     real = ~F.col("src").startswith(PREFIX)
-    scored = (
+    scored = checkpoint(
         near.where(real)
         .groupBy(SAMPLE, F.col("src").alias("barcode"))
         .agg(F.avg(F.col("dst").startswith(PREFIX).cast("double")).alias("doublet_score"))

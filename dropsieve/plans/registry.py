@@ -176,7 +176,7 @@ def retention(v):
 
 @query
 def qc_loss_breakdown(v):
-    return qc.loss_breakdown(v.cells)
+    return qc.loss_breakdown(v.stored_cells)
 
 
 @query
@@ -187,7 +187,7 @@ def pre_post_summary(v):
 @query
 def pre_post_report(v):
     n = cells.kept_features(v.counts, QC).groupBy(SAMPLE).agg(F.count("*").alias("n_features"))
-    return qc.pre_post_report(v.cells, n)
+    return qc.pre_post_report(v.stored_cells, n)
 
 
 # Called droplets
@@ -253,12 +253,12 @@ def top_features_overall(v):
 
 @query
 def recommended_thresholds(v):
-    return overview.recommended_thresholds(v.plain_cells)
+    return overview.recommended_thresholds(v.stored_cells)
 
 
 @query
 def metric_quantiles(v):
-    return overview.metric_summary(v.cells)
+    return overview.metric_summary(v.stored_cells)
 
 
 @query
@@ -273,17 +273,17 @@ def axis_ranges(v):
 
 @query
 def metric_histogram(v):
-    return overview.metric_histogram(v.plain_cells, ["n_count", "n_feature"], log10=True)
+    return overview.metric_histogram(v.stored_cells, ["n_count", "n_feature"], log10=True)
 
 
 @query
 def score_histogram(v):
-    return overview.metric_histogram(v.cells, ["doublet_score"], by=["doublet_class"])
+    return overview.metric_histogram(v.stored_cells, ["doublet_score"], by=["doublet_class"])
 
 
 @query
 def metric_distribution(v):
-    return overview.metric_distribution(v.cells)
+    return overview.metric_distribution(v.stored_cells)
 
 
 @query
@@ -413,17 +413,17 @@ def atac_pass(v):
 
 @query
 def atac_metric_summary(v):
-    return overview.metric_summary(v.chromatin_cells, atac.ATAC_METRICS)
+    return overview.metric_summary(v.stored_chromatin, atac.ATAC_METRICS)
 
 
 @query
 def density_grid(v):
-    return atac.density_grid(v.chromatin_cells, "n_count_atac", "tss_enrichment")
+    return atac.density_grid(v.stored_chromatin, "n_count_atac", "tss_enrichment")
 
 
 @query
 def density_guides(v):
-    return atac.density_guides(v.chromatin_cells, "n_count_atac", "tss_enrichment")
+    return atac.density_guides(v.stored_chromatin, "n_count_atac", "tss_enrichment")
 
 
 # Downstream analysis
@@ -431,39 +431,39 @@ def density_guides(v):
 
 @query
 def log_normalised(v):
-    return normalise.log_normalise(v.kept_counts, v.plain_cells, EMBED)
+    return normalise.log_normalise(v.stored_kept, v.stored_plain, EMBED)
 
 
 @query
 def scale_background(v):
-    norm = normalise.log_normalise(v.kept_counts, v.plain_cells, EMBED)
-    return normalise.scale_background(norm, v.plain_cells, EMBED)
+    norm = normalise.log_normalise(v.stored_kept, v.stored_plain, EMBED)
+    return normalise.scale_background(norm, v.stored_plain, EMBED)
 
 
 @query
 def scaled(v):
-    norm = normalise.log_normalise(v.kept_counts, v.plain_cells, EMBED)
-    return normalise.scale_entries(norm, normalise.scale_background(norm, v.plain_cells, EMBED), EMBED)
+    norm = normalise.log_normalise(v.stored_kept, v.stored_plain, EMBED)
+    return normalise.scale_entries(norm, normalise.scale_background(norm, v.stored_plain, EMBED), EMBED)
 
 
 @query
 def marker_expression(v):
-    norm = normalise.log_normalise(v.kept_counts, v.plain_cells, EMBED)
-    return normalise.marker_expression(v.plain_cells, norm, v.features, "large ring")
+    norm = normalise.log_normalise(v.stored_kept, v.stored_plain, EMBED)
+    return normalise.marker_expression(v.stored_plain, norm, v.features, "large ring")
 
 
 @query
 def feature_moments(v):
-    return normalise.feature_moments(v.kept_counts, v.plain_cells, "n")
+    return normalise.feature_moments(v.stored_kept, v.stored_plain, "n")
 
 
 @query
 def variable_features(v):
-    return normalise.variable_features(v.kept_counts, v.plain_cells, EMBED)
+    return normalise.variable_features(v.stored_kept, v.stored_plain, EMBED)
 
 
 def _pca(v):
-    return embed.pca(v.kept_counts, v.plain_cells, EMBED)
+    return embed.pca(v.stored_kept, v.stored_plain, EMBED)
 
 
 @query
@@ -473,7 +473,7 @@ def pca(v):
 
 @query
 def cell_coordinates(v):
-    return embed.cell_coordinates(_pca(v), v.cells)
+    return embed.cell_coordinates(_pca(v), v.stored_cells)
 
 
 @query
@@ -505,4 +505,4 @@ def cluster_counts(v):
 
 @query
 def doublet_scores(v):
-    return synthetic.doublet_scores(v.kept_counts, EMBED)
+    return synthetic.doublet_scores(v.stored_kept, EMBED)

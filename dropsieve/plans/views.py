@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import CELL, SAMPLE
-from dropsieve.operators import atac, cells, doublets, nuclear, qc
+from dropsieve.operators import atac, cells, nuclear
 from dropsieve.params import AtacParams, EmbedParams, QCParams
 from dropsieve.plans.runs import RunInputs, cell_table
+from dropsieve.session import checkpoint
 
 # Thresholds scaled to the provided tables.
 QC = QCParams(
@@ -173,6 +174,11 @@ class Views:
         """The cell table with all metrics and the keep flag."""
         return cell_table(self.inputs, QC)
 
+    @cached_property
+    def stored_cells(self) -> DataFrame:
+        """The cell table, stored: reports read it several times."""
+        return checkpoint(self.cells)
+
     @cached_property
     def plain_cells(self) -> DataFrame:
         """The cell table without attached metrics."""
@@ -182,6 +188,15 @@ class Views:
     def kept_counts(self) -> DataFrame:
         return cells.kept_counts(self.counts, QC)
 
+    @cached_property
+    def stored_kept(self) -> DataFrame:
+        """The filtered triplets, stored: the downstream steps read them several times."""
+        return checkpoint(self.kept_counts)
+
+    @cached_property
+    def stored_plain(self) -> DataFrame:
+        return checkpoint(self.plain_cells)
+
     @cached_property
     def fragments(self) -> DataFrame:
         start = F.expr("timestampdiff(SECOND, timestamp'2024-01-01 00:00:00', ts)")
@@ -222,6 +237,10 @@ class Views:
         bad = atac.blacklisted_peaks(self.peaks, self.blacklist)
         return atac.chromatin_cells(self.fragments, self.peak_triplets, bad, self.tss, ATAC)
 
+    @cached_property
+    def stored_chromatin(self) -> DataFrame:
+        return checkpoint(self.chromatin_cells)
+
     @cached_property
     def paired_fragments(self) -> DataFrame:
         """The fragments under the region of the user, who is also a customer."""

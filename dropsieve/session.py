@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 # Settings the operators count on: adaptive plans, skewed joins split even where
 # that costs another shuffle, and per-partition overwrite for the sinks.
 SETTINGS = {
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
