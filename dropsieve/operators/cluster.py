@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import SAMPLE
+from dropsieve.operators.ranks import distributed_rank
 from dropsieve.session import checkpoint
 
 GAIN_EPS = 1e-9
@@ -21,46 +22,49 @@ def modularity(adj: DataFrame, labels: DataFrame, resolution: float) -> DataFram
     """Modularity ``q`` of a labelling per sample."""
     lu = labels.select(SAMPLE, "u", F.col("c").alias("cu"))
     lv = labels.select(SAMPLE, F.col("u").alias("v"), F.col("c").alias("cv"))
-    marked = adj.join(lu, [SAMPLE, "u"]).join(lv, [SAMPLE, "v"])
-    per = marked.groupBy(SAMPLE, "cu").agg(
-        F.sum(F.when(F.col("cu") == F.col("cv"), F.col("a")).otherwise(0.0)).alias("inside"),
-        F.sum("a").alias("k"),
+    same = F.when(F.col("cu") == F.col("cv"), F.col("a")).otherwise(0.0)
+    per = (
+        adj.join(lu, [SAMPLE, "u"])
+        .join(lv, [SAMPLE, "v"])
+        .groupBy(SAMPLE, "cu")
+        .agg(F.sum(same).alias("inside"), F.sum("a").alias("k"))
     )
-    total = adj.groupBy(SAMPLE).agg(F.sum("a").alias("m2"))
-    share = F.col("k") / F.col("m2")
-    return (
-        per.join(total, SAMPLE)
-        .groupBy(SAMPLE)
-        .agg(F.sum(F.col("inside") / F.col("m2") - resolution * share * share).alias("q"))
+    k, total = F.col("k"), F.sum("k")
+    return per.groupBy(SAMPLE).agg(
+        (F.sum("inside") / total - resolution * F.sum(k * k) / (total * total)).alias("q")
     )
 
 
-def _proposals(adj: DataFrame, labels: DataFrame, resolution: float, active) -> DataFrame:
-    """Labels after every active node took its best neighbouring label."""
+def _degrees(adj: DataFrame) -> DataFrame:
+    """Weight ``k`` of each node and ``m2`` of its sample."""
     node = adj.groupBy(SAMPLE, "u").agg(F.sum("a").alias("k"))
-    total = adj.groupBy(SAMPLE).agg(F.sum("a").alias("m2"))
-    at = labels.join(node, [SAMPLE, "u"], "left").na.fill(0.0, ["k"])
+    return node.join(node.groupBy(SAMPLE).agg(F.sum("k").alias("m2")), SAMPLE)
+
+
+def _proposals(
+    adj: DataFrame, degrees: DataFrame, labels: DataFrame, resolution: float, active
+) -> DataFrame:
+    """Labels after every active node took its best neighbouring label."""
+    at = labels.join(degrees, [SAMPLE, "u"])
     weight = at.groupBy(SAMPLE, "c").agg(F.sum("k").alias("kc"))
     lv = labels.select(SAMPLE, F.col("u").alias("v"), "c")
-    links = (
-        adj.where(F.col("u") != F.col("v"))
-        .join(lv, [SAMPLE, "v"])
-        .groupBy(SAMPLE, "u", "c")
-        .agg(F.sum("a").alias("w"))
-    )
-    stay = labels.select(SAMPLE, "u", "c", F.lit(0.0).alias("w"))
-    options = links.unionByName(stay).groupBy(SAMPLE, "u", "c").agg(F.sum("w").alias("w"))
-    own = at.select(SAMPLE, "u", "k", F.col("c").alias("c0"))
+    links = adj.where(F.col("u") != F.col("v")).join(lv, [SAMPLE, "v"]).select(SAMPLE, "u", "c", "a")
+    stay = labels.select(SAMPLE, "u", "c", F.lit(0.0).alias("a"))
+    options = links.unionByName(stay).groupBy(SAMPLE, "u", "c").agg(F.sum("a").alias("w"))
+    own = at.select(SAMPLE, "u", "k", "m2", F.col("c").alias("c0"))
     is_own = F.col("c") == F.col("c0")
     rest = F.col("kc") - F.when(is_own, F.col("k")).otherwise(0.0)
     gain = F.round(F.col("w") - resolution * F.col("k") * rest / F.col("m2"), 9)
-    scored = (
-        options.join(own, [SAMPLE, "u"]).join(weight, [SAMPLE, "c"]).join(total, SAMPLE).withColumn("g", gain)
-    )
-    best = scored.groupBy(SAMPLE, "u").agg(
-        F.min_by("c", F.struct(-F.col("g"), F.col("c"))).alias("to"),
-        F.max("g").alias("g1"),
-        F.max(F.when(is_own, F.col("g"))).alias("g0"),
+    best = (
+        options.join(own, [SAMPLE, "u"])
+        .join(weight, [SAMPLE, "c"])
+        .withColumn("g", gain)
+        .groupBy(SAMPLE, "u")
+        .agg(
+            F.min_by("c", F.struct(-F.col("g"), F.col("c"))).alias("to"),
+            F.max("g").alias("g1"),
+            F.max(F.when(is_own, F.col("g"))).alias("g0"),
+        )
     )
     better = active & (F.col("g1") > F.col("g0") + GAIN_EPS)
     return labels.join(best, [SAMPLE, "u"], "left").select(
@@ -68,16 +72,39 @@ def _proposals(adj: DataFrame, labels: DataFrame, resolution: float, active) ->
     )
 
 
-def _accept(adj: DataFrame, moved: DataFrame, resolution: float) -> DataFrame:
-    """Per sample the new labels if modularity does not fall, else the old ones."""
-    old = modularity(adj, moved.select(SAMPLE, "u", F.col("c0").alias("c")), resolution)
-    new = modularity(adj, moved.select(SAMPLE, "u", "c"), resolution)
-    ok = old.join(new.withColumnRenamed("q", "q1"), SAMPLE).select(
-        SAMPLE, (F.col("q1") >= F.col("q")).alias("ok")
-    )
-    return moved.join(ok, SAMPLE, "left").select(
-        SAMPLE, "u", F.when(F.col("ok"), F.col("c")).otherwise(F.col("c0")).alias("c"), "c0"
-    )
+def _scores(adj: DataFrame, moved: DataFrame, resolution: float) -> dict[str, tuple[float, int]]:
+    """Modularity and number of moves, one row per sample."""
+    q = modularity(adj, moved.select(SAMPLE, "u", "c"), resolution)
+    n = moved.groupBy(SAMPLE).agg(F.count_if(F.col("c") != F.col("c0")).alias("n"))
+    return {r[SAMPLE]: (r["q"], r["n"]) for r in n.join(q, SAMPLE).collect()}
+
+
+def local_moves(
+    adj: DataFrame, labels: DataFrame, resolution: float, seed: int, rounds: int
+) -> tuple[DataFrame, list[dict[str, float]]]:
+    """Labels after up to ``rounds`` rounds, and each sample's modularity after each.
+
+    A round's moves are kept for a sample only if its modularity does not fall.
+    It ends early when nothing moves in two rounds, one for each half.
+    """
+    degrees = checkpoint(_degrees(adj))
+    history: list[dict[str, float]] = []
+    quiet = 0
+    for r in range(rounds):
+        half = F.pmod(F.xxhash64("u", F.lit(seed)), F.lit(2)) == r % 2
+        moved = checkpoint(_proposals(adj, degrees, labels, resolution, half))
+        scores = _scores(adj, moved, resolution)
+        last = history[-1] if history else {}
+        fell = [s for s, (q, _) in scores.items() if q < last.get(s, float("-inf"))]
+        if fell:
+            keep = F.when(F.col(SAMPLE).isin(fell), F.col("c0")).otherwise(F.col("c"))
+            moved = checkpoint(moved.select(SAMPLE, "u", keep.alias("c"), "c0"))
+        labels = moved.select(SAMPLE, "u", "c")
+        history.append({s: last[s] if s in fell else q for s, (q, _) in scores.items()})
+        quiet = quiet + 1 if all(n == 0 for s, (_, n) in scores.items() if s not in fell) else 0
+        if quiet == 2:
+            break
+    return labels, history
 
 
 def clusters(
@@ -92,28 +119,15 @@ def clusters(
 
     In a round half of the nodes, chosen by a seeded hash, take the neighbouring
     label with the largest modularity gain, the smallest label among equals.
-    When nothing moves in two rounds, clusters become the nodes of the next
-    level. ``nodes`` has ``sample_id, id``; those without an edge stay alone.
+    Then clusters become the nodes of the next level. ``nodes`` has
+    ``sample_id, id``; those without an edge stay alone.
     """
     adj = checkpoint(adjacency(edges))
-    member = nodes.select(SAMPLE, F.col("id"), F.col("id").alias("u"))
-    member = checkpoint(member)
+    member = checkpoint(nodes.select(SAMPLE, F.col("id"), F.col("id").alias("u")))
     for level in range(levels):
-        labels = member.select(SAMPLE, "u").distinct().withColumn("c", F.col("u"))
-        quiet = 0
-        any_move = False
-        for r in range(rounds):
-            half = F.pmod(F.xxhash64("u", F.lit(seed + level)), F.lit(2)) == r % 2
-            moved = checkpoint(_proposals(adj, labels, resolution, half))
-            moved = checkpoint(_accept(adj, moved, resolution))
-            labels = moved.select(SAMPLE, "u", "c")
-            if moved.where("c <> c0").isEmpty():
-                quiet += 1
-                if quiet == 2:
-                    break
-            else:
-                quiet, any_move = 0, True
-        if not any_move:
+        start = member.select(SAMPLE, "u").distinct().withColumn("c", F.col("u"))
+        labels, _ = local_moves(adj, start, resolution, seed + level, rounds)
+        if labels.where("u <> c").isEmpty():
             break
         member = checkpoint(
             member.join(labels, [SAMPLE, "u"]).select(SAMPLE, "id", F.col("c").alias("u"))
@@ -130,13 +144,11 @@ def clusters(
 
 
 def number_clusters(member: DataFrame) -> DataFrame:
-    """Numbers labels by falling size, ties by label.
+    """Numbers labels by falling size, ties by a hash of the label.
 
-    The rank of a label is counted over its sizes with the distributed rank, as
-    a sample may have as many single-node labels as nodes.
+    A sample may have as many single-node labels as nodes, so the numbers come
+    from the distributed rank.
     """
-    from dropsieve.operators.ranks import distributed_rank
-
     size = member.groupBy(SAMPLE, "c").agg(F.count("*").alias("size"))
     ordinal = size.withColumn("ord", F.xxhash64("c"))
     ranked = distributed_rank(ordinal, "size", run=1 << 48)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -12,9 +14,8 @@ from dropsieve.operators import normalise
 from dropsieve.params import EmbedParams
 from dropsieve.session import checkpoint
 
-# Cells whose products one task sums, and partial sums that meet in one task.
+# Cells whose products one task sums.
 CHUNK_CELLS = 8_192
-FAN_IN = 64
 
 
 def _indexed(entries: DataFrame, background: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -43,19 +44,28 @@ def _partial_products(pdf: pd.DataFrame) -> pd.DataFrame:
         {
             SAMPLE: pdf[SAMPLE].iloc[0],
             "g": np.arange(size, dtype="int32"),
-            "part": pdf["chunk"].iloc[0],
             "s_sum": plain,
             "products": list(total),
         }
     )
 
 
-def _add_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(len(pdf["products"].iloc[0]))
-    for row in pdf["products"]:
-        total += row
-    first = pdf.iloc[:1]
-    return first.assign(s_sum=pdf["s_sum"].sum(), products=[total])
+def _add_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adds up runs of rows of the same sample and feature in sorted batches."""
+    key, total, plain = None, None, 0.0
+    for pdf in batches:
+        done = []
+        for sample, g, s_sum, row in zip(pdf[SAMPLE], pdf["g"], pdf["s_sum"], pdf["products"]):
+            if key == (sample, g):
+                total, plain = total + row, plain + s_sum
+                continue
+            if key is not None:
+                done.append((*key, plain, total))
+            key, total, plain = (sample, g), row, s_sum
+        if done:
+            yield pd.DataFrame(done, columns=[SAMPLE, "g", "s_sum", "products"])
+    if key is not None:
+        yield pd.DataFrame([(*key, plain, total)], columns=[SAMPLE, "g", "s_sum", "products"])
 
 
 def principal_axes(entries: DataFrame, background: DataFrame, p: EmbedParams) -> DataFrame:
@@ -63,9 +73,9 @@ def principal_axes(entries: DataFrame, background: DataFrame, p: EmbedParams) ->
 
     With ``z = z0 + s``, where ``s`` is zero for absent entries, the matrix of
     products follows from the sums of ``s`` and of its outer products. Chunks
-    of cells sum these in parallel and the sums are added in two steps, so a
-    sample may have any number of cells. Only the final step needs a sample's
-    whole feature-by-feature matrix.
+    of cells sum these in parallel, and the sums of a feature are added up as a
+    sorted stream, so a sample may have any number of cells. Only the final
+    step needs a sample's whole feature-by-feature matrix.
     """
     shifted, axis = _indexed(entries, background)
     rows = shifted.groupBy(*CELL).agg(
@@ -76,15 +86,15 @@ def principal_axes(entries: DataFrame, background: DataFrame, p: EmbedParams) ->
     chunked = rows.join(sizes, SAMPLE).withColumn(
         "chunk", F.pmod(F.xxhash64(*CELL), chunks).cast("bigint")
     )
-    schema = f"{SAMPLE} string, g int, part bigint, s_sum double, products array<double>"
+    schema = f"{SAMPLE} string, g int, s_sum double, products array<double>"
     partial = (
         chunked.select(SAMPLE, "chunk", "n_g", F.col("row.g").alias("gs"), F.col("row.s").alias("ss"))
         .groupBy(SAMPLE, "chunk")
         .applyInPandas(_partial_products, schema)
     )
-    lane = partial.withColumn("part", F.pmod("part", F.lit(FAN_IN)))
-    summed = lane.groupBy(SAMPLE, "g", "part").applyInPandas(_add_rows, schema)
-    summed = summed.groupBy(SAMPLE, "g").applyInPandas(_add_rows, schema)
+    summed = (
+        partial.repartition(SAMPLE, "g").sortWithinPartitions(SAMPLE, "g").mapInPandas(_add_rows, schema)
+    )
     full = summed.join(axis.select(SAMPLE, "g", "feature_id", "z0", "n_all"), [SAMPLE, "g"])
     k = p.n_components
 

@@ -195,7 +195,8 @@ VIEWS["background"] = """
             sqrt(greatest((sum(x * x) - sum(x) * sum(x) / any_value(n_all)) / nullif(any_value(n_all) - 1, 0), 0)) AS sd
         FROM normalised JOIN cell_number USING (sample_id) GROUP BY sample_id, feature_id)"""
 VIEWS["vectors"] = """
-    SELECT 'G' || (vec_id % 2) AS sample_id, vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings"""
+    SELECT 'G' || (vec_id % 2) AS sample_id, vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label
+    FROM embeddings"""
 VIEWS["near"] = """
     SELECT sample_id, src, dst, sqrt(d2) AS dist, rank FROM (
         SELECT sample_id, src, dst, d2,
@@ -554,6 +555,8 @@ STATEMENTS["shared_neighbours"] = """
         GROUP BY ALL)
     WHERE shared / (22e0 - shared) >= 1 / 15e0"""
 
+STATEMENTS["cluster_counts"] = "SELECT sample_id, count(DISTINCT label) AS n_clusters FROM vectors GROUP BY ALL"
+
 
 def _needs(sql: str) -> set[str]:
     words = set(re.findall(r"\b[a-z_]+\b", sql))

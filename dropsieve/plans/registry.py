@@ -487,20 +487,16 @@ def shared_neighbours(v):
     return neighbours.shared_neighbours(near, EMBED.k, EMBED.prune)
 
 
-def _clusters(v):
-    near = neighbours.nearest_neighbours(v.vectors, EMBED.k)
-    edges = neighbours.shared_neighbours(near, EMBED.k, EMBED.prune)
-    return cluster.clusters(edges, v.vectors, EMBED.resolution, EMBED.seed)
-
-
 @query
 def clusters(v):
-    return _clusters(v)
+    near = neighbours.nearest_neighbours(v.vectors, EMBED.k)
+    edges = neighbours.shared_neighbours(near, EMBED.k, EMBED.prune)
+    return cluster.clusters(edges, v.vectors, EMBED.resolution, EMBED.seed, levels=2, rounds=4)
 
 
 @query
 def cluster_counts(v):
-    return cluster.count_clusters(_clusters(v))
+    return cluster.count_clusters(v.vectors.withColumnRenamed("label", "cluster"))
 
 
 @query

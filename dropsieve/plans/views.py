@@ -257,4 +257,5 @@ class Views:
             F.concat(F.lit("G"), F.col("vec_id") % 2).alias(SAMPLE),
             F.col("vec_id").alias("id"),
             F.col("embedding").alias("vec"),
+            "label",
         )
