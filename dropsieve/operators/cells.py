@@ -50,10 +50,13 @@ def surviving_counts(counts: DataFrame, min_features: int) -> DataFrame:
 
     A window over a cell, which has no more rows than there are features, needs
     one shuffle by cell. What follows per cell reuses that partitioning, and a
-    table bucketed by cell needs no shuffle at all.
+    table bucketed by cell needs no shuffle at all. The keys are filtered for
+    NULL here because joins further on would do so in some uses only, and Spark
+    runs the shuffle once for all uses when they are equal.
     """
-    detected = F.count_if(F.col("n") > 0).over(Window.partitionBy(*CELL))
-    return counts.withColumn("_f", detected).where(F.col("_f") >= min_features).drop("_f")
+    keyed = counts.where(F.col(SAMPLE).isNotNull() & F.col("barcode").isNotNull())
+    detected = F.count_if(F.col("n") > 0).over(Window.partitionBy("barcode", SAMPLE))
+    return keyed.withColumn("_f", detected).where(F.col("_f") >= min_features).drop("_f")
 
 
 def kept_features(counts: DataFrame, p: QCParams) -> DataFrame:
