@@ -555,6 +555,29 @@ STATEMENTS["shared_neighbours"] = """
         GROUP BY ALL)
     WHERE shared / (22e0 - shared) >= 1 / 15e0"""
 
+VIEWS["called_counts"] = """
+    SELECT c.* FROM counts c SEMI JOIN (SELECT * FROM barcodes WHERE call_set = 'denoised') b
+        ON c.sample_id = b.sample_id AND c.barcode = b.barcode"""
+VIEWS["called_survivors"] = """
+    SELECT c.* FROM called_counts c SEMI JOIN (
+        SELECT sample_id, barcode FROM called_counts WHERE n > 0 GROUP BY ALL HAVING count(*) >= 20
+    ) USING (sample_id, barcode)"""
+VIEWS["called_kept"] = """
+    SELECT s.* FROM called_survivors s SEMI JOIN (
+        SELECT sample_id, feature_id FROM called_survivors WHERE n > 0 GROUP BY ALL HAVING count(*) >= 3
+    ) USING (sample_id, feature_id)"""
+STATEMENTS["denoised_cells"] = """
+    SELECT sample_id, barcode, n_count, n_feature, ROUND(pct_mt, 6) AS pct_mt,
+        n_feature >= 20 AND n_count >= 500 AND pct_mt <= 20 AS keep
+    FROM (
+        SELECT sample_id, barcode, CAST(sum(n) AS BIGINT) AS n_count, count(*) FILTER (WHERE n > 0) AS n_feature,
+            1e2 * sum(CASE WHEN regexp_matches(p_name, '^red ') THEN n ELSE 0 END) / nullif(sum(n), 0) AS pct_mt
+        FROM called_kept JOIN part ON feature_id = p_partkey GROUP BY sample_id, barcode)"""
+STATEMENTS["stored_qc_tables"] = "SELECT sample_id, cells_pre, cells_post FROM kept_share"
+STATEMENTS["stored_metric_csv"] = STATEMENTS["doublet_summary"]
+STATEMENTS["stored_modalities"] = """
+    SELECT sample_id, 'Peaks' AS modality, count(*) AS entries, CAST(sum(n) AS BIGINT) AS n
+    FROM paired_peaks GROUP BY sample_id"""
 STATEMENTS["cluster_counts"] = "SELECT sample_id, count(DISTINCT label) AS n_clusters FROM vectors GROUP BY ALL"
 
 

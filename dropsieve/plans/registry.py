@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,8 @@ from dropsieve.operators import (
 )
 from dropsieve.plans import runs
 from dropsieve.plans.views import ATAC, EMBED, QC, Views
-from dropsieve.sources import sinks
+from dropsieve.session import shared_dir
+from dropsieve.sources import readers, sinks
 
 DIGITS = 6
 _ALL: dict[str, Callable[[Views], DataFrame]] = {}
@@ -91,6 +94,49 @@ def feature_classes(v):
     return cells.feature_classes(v.features, QC)
 
 
+@query
+def denoised_cells(v):
+    """The cell table of a run on the denoised call set, without attached metrics."""
+    x = runs.RunInputs(v.counts, v.features, barcodes=v.barcodes)
+    return runs.cell_table(x, replace(QC, denoised=True)).select(
+        *CELL, "n_count", "n_feature", "pct_mt", "keep"
+    )
+
+
+# Written and read back
+
+
+def _fresh(v, name):
+    return f"{shared_dir(v.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def stored_qc_tables(v):
+    path = _fresh(v, "qc")
+    sinks.write_qc_tables(v.cells, path)
+    pre, post = sinks.read_qc_tables(v.spark, path)
+
+    def size(df, name):
+        return df.groupBy(F.col(SAMPLE).cast("string").alias(SAMPLE)).agg(F.count("*").alias(name))
+
+    return size(pre, "cells_pre").join(size(post, "cells_post"), SAMPLE)
+
+
+@query
+def stored_metric_csv(v):
+    path = _fresh(v, "doublets")
+    sinks.write_metric_csv(v.doublet_metrics.drop("ord"), path)
+    return doublets.doublet_summary(readers.read_metric_csv(v.spark, path))
+
+
+@query
+def stored_modalities(v):
+    path = _fresh(v, "counts")
+    sinks.write_counts(_both_modalities(v), path)
+    back = readers.read_counts(v.spark, path, multimodal.PEAKS)
+    return back.groupBy(SAMPLE, "modality").agg(F.count("*").alias("entries"), F.sum("n").alias("n"))
+
+
 # Nuclear fraction and doublets
 
 

@@ -1,22 +1,13 @@
-"""Schemas of the tables that are read from files."""
+"""Schemas of the tables that are read from files, as DDL."""
 
-from __future__ import annotations
-
-from pyspark.sql import types as T
-
-
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
-COUNTS = _struct(
+COUNTS = (
     "sample_id STRING, modality STRING, barcode STRING, feature_id STRING, feature_name STRING, n BIGINT"
 )
-BARCODES = _struct("sample_id STRING, call_set STRING, barcode STRING, ord BIGINT")
-ALIGNMENTS = _struct("sample_id STRING, cb STRING, re STRING")
-FRAGMENTS = _struct("chrom STRING, start BIGINT, end BIGINT, barcode STRING, read_support BIGINT")
-INTERVALS = _struct("chrom STRING, start BIGINT, end BIGINT")
-MATRIX_ENTRY = _struct("i BIGINT, j BIGINT, n BIGINT")
-FEATURE_LINE = _struct(
+BARCODES = "sample_id STRING, call_set STRING, barcode STRING, ord BIGINT"
+ALIGNMENTS = "sample_id STRING, cb STRING, re STRING"
+FRAGMENTS = "chrom STRING, start BIGINT, end BIGINT, barcode STRING, read_support BIGINT"
+INTERVALS = "chrom STRING, start BIGINT, end BIGINT"
+MATRIX_ENTRY = "i BIGINT, j BIGINT, n BIGINT"
+FEATURE_LINE = (
     "feature_id STRING, feature_name STRING, modality STRING, chrom STRING, start BIGINT, end BIGINT"
 )
