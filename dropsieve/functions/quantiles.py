@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dropsieve.functions.sizing import sized
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -47,7 +49,7 @@ def exact_quantiles(
         F.lit(float("-inf")), *[F.when(b < F.col("_v"), b) for b in hi]
     )
     freq = (
-        src.join(edges, list(keys))
+        src.join(sized(edges), list(keys))
         .withColumn("_gap", ~inside)
         .withColumn("_f", F.when(F.col("_gap"), below).otherwise(F.col("_v")))
         .groupBy(*keys, "_f", "_gap")

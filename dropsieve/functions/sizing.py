@@ -5,9 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dropsieve.session import checkpoint
+
 MAX_BROADCAST_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads one row more than that at most."""
     return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+
+
+def sized(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` computed and stored, to be broadcast if it has at most ``max_rows`` rows.
+
+    For tables with one row per sample or the like, which are joined to large
+    ones. Spark cannot foresee their size and would shuffle the large side by
+    sample, all of a large sample to one task. A table that turns out too large
+    is joined by shuffle.
+    """
+    kept = checkpoint(df)
+    return F.broadcast(kept) if fits_broadcast(kept, max_rows) else kept

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import SAMPLE, clean_barcode, present
+from dropsieve.functions.sizing import sized
 
 # Accepted names of the barcode column of a metric table, in order of preference.
 BARCODE_NAMES = ("cell_barcode", "barcode")
@@ -70,4 +71,4 @@ def attach_metadata(cells: DataFrame, metadata: DataFrame | None, key: str = "sa
         .where("_rows = 1")
         .drop("_rows")
     )
-    return cells.drop(*fields).join(single, SAMPLE, "left")
+    return cells.drop(*fields).join(sized(single), SAMPLE, "left")

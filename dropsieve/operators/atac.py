@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import CELL, SAMPLE, peak_name, percent, ratio
+from dropsieve.functions.sizing import sized
 from dropsieve.operators.intervals import binned_overlap
 from dropsieve.operators.overview import metric_distribution
 from dropsieve.params import AtacParams
@@ -102,7 +103,7 @@ def blacklisted_peaks(peaks: DataFrame, blacklist: DataFrame, width: int = 10_00
 
 def blacklist_fraction(peak_triplets: DataFrame, bad_peaks: DataFrame) -> DataFrame:
     """Share of a cell's peak counts in blacklisted peaks."""
-    flagged = peak_triplets.join(bad_peaks.withColumn("_bad", F.lit(True)), "feature_id", "left")
+    flagged = peak_triplets.join(sized(bad_peaks.withColumn("_bad", F.lit(True))), "feature_id", "left")
     return flagged.groupBy(*CELL).agg(
         ratio(F.sum(F.when(F.col("_bad"), F.col("n")).otherwise(0)), F.sum("n")).alias(
             "blacklist_fraction"
@@ -142,7 +143,7 @@ def tss_enrichment(fragments: DataFrame, tss: DataFrame, p: AtacParams) -> DataF
     centre_mean = F.col("centre") / float(p.tss_centre_hi - p.tss_centre_lo + 1)
     fallback = cells.groupBy(SAMPLE).agg(F.avg(flank_mean).alias("_mean_flank"))
     base = F.when(flank_mean > 0, flank_mean).otherwise(F.col("_mean_flank"))
-    return cells.join(fallback, SAMPLE).select(
+    return cells.join(sized(fallback), SAMPLE).select(
         *CELL, "flank", "centre", F.try_divide(centre_mean, base).alias("tss_enrichment")
     )
 
@@ -230,7 +231,7 @@ def density_grid(cells: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
         return F.least(F.coalesce(pos, F.lit(1)), F.lit(bins)).cast("int")
 
     return (
-        pts.join(limits, SAMPLE)
+        pts.join(sized(limits), SAMPLE)
         .groupBy(SAMPLE, cell_of("gx", "x_lo", "x_hi").alias("bin_x"), cell_of("gy", "y_lo", "y_hi").alias("bin_y"))
         .agg(F.count("*").alias("n"))
     )

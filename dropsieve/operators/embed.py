@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import CELL, SAMPLE
+from dropsieve.functions.sizing import MAX_BROADCAST_ROWS, sized
 from dropsieve.operators import normalise
 from dropsieve.params import EmbedParams
 from dropsieve.session import checkpoint
@@ -23,7 +24,7 @@ def _indexed(entries: DataFrame, background: DataFrame) -> tuple[DataFrame, Data
     w = Window.partitionBy(SAMPLE).orderBy("feature_id")
     axis = background.withColumn("g", (F.row_number().over(w) - 1).cast("int"))
     size = axis.groupBy(SAMPLE).agg(F.count("*").cast("int").alias("n_g"))
-    axis = axis.join(size, SAMPLE)
+    axis = sized(axis.join(size, SAMPLE))
     shifted = entries.join(axis.select(SAMPLE, "feature_id", "g", "n_g"), [SAMPLE, "feature_id"])
     return shifted.withColumn("s", F.col("z") - F.col("z0")), axis
 
@@ -83,7 +84,7 @@ def principal_axes(entries: DataFrame, background: DataFrame, p: EmbedParams) ->
     )
     sizes = axis.groupBy(SAMPLE).agg(F.first("n_all").alias("n_all"))
     chunks = F.ceil(F.col("n_all") / CHUNK_CELLS)
-    chunked = rows.join(sizes, SAMPLE).withColumn(
+    chunked = rows.join(sized(sizes), SAMPLE).withColumn(
         "chunk", F.pmod(F.xxhash64(*CELL), chunks).cast("bigint")
     )
     schema = f"{SAMPLE} string, g int, s_sum double, products array<double>"
@@ -117,7 +118,7 @@ def principal_axes(entries: DataFrame, background: DataFrame, p: EmbedParams) ->
 def project(entries: DataFrame, axes: DataFrame, cells: DataFrame, p: EmbedParams) -> DataFrame:
     """Coordinates ``pca`` of every cell as sums over its entries, in the JVM."""
     k = p.n_components
-    loads = axes.select(SAMPLE, "feature_id", "loading")
+    loads = sized(axes.select(SAMPLE, "feature_id", "loading"), MAX_BROADCAST_ROWS // 8)
     joined = entries.join(loads, [SAMPLE, "feature_id"])
     shift = F.col("z") - F.col("z0")
     sums = joined.groupBy(*CELL).agg(
@@ -130,7 +131,7 @@ def project(entries: DataFrame, axes: DataFrame, cells: DataFrame, p: EmbedParam
     at = [F.coalesce(f"c{i}", zero) + F.col(f"o{i}") for i in range(k)]
     return (
         cells.select(*CELL)
-        .join(origin, SAMPLE)
+        .join(sized(origin), SAMPLE)
         .join(sums, CELL, "left")
         .select(*CELL, F.filter(F.array(*at), lambda v: v.isNotNull()).alias("pca"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import CELL, SAMPLE, clean_barcode
+from dropsieve.functions.sizing import sized
 
 GEX = "Gene Expression"
 PEAKS = "Peaks"
@@ -58,7 +59,7 @@ def select_modality(counts: DataFrame, rule: str = "gex_or_first") -> DataFrame:
         pick = F.when(F.col("has_gex"), F.lit(GEX)).otherwise(first)
     else:
         raise ValueError(f"unknown rule {rule}")
-    chosen = info.select(SAMPLE, pick.alias("modality"))
+    chosen = sized(info.select(SAMPLE, pick.alias("modality")))
     return counts.join(chosen, [SAMPLE, "modality"], "left_semi")
 
 

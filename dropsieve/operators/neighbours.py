@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import SAMPLE
+from dropsieve.functions.sizing import sized
 
 # Squared distances are compared at this many decimals; ties go to the smaller id.
 DECIMALS = 9
@@ -58,7 +57,7 @@ def nearest_neighbours(
     n = vectors.groupBy(SAMPLE).agg(F.count("*").alias("_n"))
     placed = (
         vectors.select(SAMPLE, F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-        .join(n, SAMPLE)
+        .join(sized(n), SAMPLE)
         .withColumn("_nb", F.ceil(F.col("_n") / block_rows).cast("int"))
         .withColumn("b", F.pmod(F.xxhash64("id"), F.col("_nb")).cast("int"))
         .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))

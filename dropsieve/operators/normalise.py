@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dropsieve.functions.scalars import CELL, SAMPLE
+from dropsieve.functions.sizing import sized
 from dropsieve.params import EmbedParams
 
 FEATURE = [SAMPLE, "feature_id"]
@@ -109,7 +110,7 @@ def variable_features(counts: DataFrame, cells: DataFrame, p: EmbedParams) -> Da
 
 
 def restrict_features(triplets: DataFrame, features: DataFrame) -> DataFrame:
-    return triplets.join(features.select(*FEATURE), FEATURE, "left_semi")
+    return triplets.join(sized(features.select(*FEATURE)), FEATURE, "left_semi")
 
 
 def scale_background(normalised: DataFrame, cells: DataFrame, p: EmbedParams) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dropsieve.functions.quantiles import exact_quantiles
 from dropsieve.functions.scalars import SAMPLE, percent, present
+from dropsieve.functions.sizing import sized
 
 QC_METRICS = ("n_feature", "n_count", "pct_mt", "nuclear_fraction", "doublet_score")
 # Metrics with a natural range; the others are scaled to the data.
@@ -122,7 +123,7 @@ def _binned(x: DataFrame, keys: Sequence[str], bins: int) -> DataFrame:
     width = F.col("hi") - F.col("lo")
     pos = F.floor(F.try_divide(F.col("value") - F.col("lo"), width) * bins) + 1
     inner = F.least(F.coalesce(pos, F.lit(1)), F.lit(bins)).cast("int")
-    return x.join(limits, list(keys)).withColumn("bin", inner)
+    return x.join(sized(limits), list(keys)).withColumn("bin", inner)
 
 
 def metric_histogram(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import SAMPLE, mean_sd_text, percent, plain_number, with_thousands
+from dropsieve.functions.sizing import sized
 from dropsieve.params import QCParams
 
 DOUBLET = "doublet"
@@ -66,7 +67,7 @@ def observed_limits(flagged: DataFrame) -> DataFrame:
 def loss_breakdown(flagged: DataFrame) -> DataFrame:
     """Cells per overlapping loss class; a sample without kept cells has no limits."""
     cols = set(flagged.columns)
-    x = flagged.join(observed_limits(flagged), SAMPLE)
+    x = flagged.join(sized(observed_limits(flagged)), SAMPLE)
     none = F.lit(0).cast("bigint")
     doublets = F.count_if(F.col("doublet_class") == DOUBLET) if "doublet_class" in cols else none
     nuclear = (

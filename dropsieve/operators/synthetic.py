@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import CELL, SAMPLE
+from dropsieve.functions.sizing import sized
 from dropsieve.operators.embed import pca
 from dropsieve.operators.neighbours import nearest_neighbours
 from dropsieve.params import EmbedParams
@@ -24,7 +25,7 @@ def pair_cells(cells: DataFrame, seed: int, bucket_rows: int = 256) -> DataFrame
     h = F.xxhash64("barcode", F.lit(seed))
     placed = (
         cells.select(*CELL)
-        .join(n, SAMPLE)
+        .join(sized(n), SAMPLE)
         .withColumn("_h", h)
         .withColumn("_b", F.pmod("_h", F.ceil(F.col("_n") / bucket_rows)))
     )
@@ -79,7 +80,7 @@ def doublet_scores(
         "doublet_score",
         ((F.sum("_c").over(down) <= F.ceil(rate * n)) & (F.col("doublet_score") > 0)).alias("_top"),
     )
-    return scored.join(cut, [SAMPLE, "doublet_score"]).select(
+    return scored.join(sized(cut), [SAMPLE, "doublet_score"]).select(
         SAMPLE,
         F.col("barcode").alias("cell_barcode"),
         "doublet_score",

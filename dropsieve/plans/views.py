@@ -15,7 +15,7 @@ from dropsieve.functions.scalars import CELL, SAMPLE
 from dropsieve.operators import atac, cells, nuclear
 from dropsieve.params import AtacParams, EmbedParams, QCParams
 from dropsieve.plans.runs import RunInputs, cell_table
-from dropsieve.session import checkpoint
+from dropsieve.session import checkpoint, store_bucketed
 
 # Thresholds scaled to the provided tables.
 QC = QCParams(
@@ -45,9 +45,12 @@ class Views:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def donors(self) -> DataFrame:
@@ -76,9 +79,11 @@ class Views:
 
     @cached_property
     def counts(self) -> DataFrame:
-        return self.lines.groupBy(*CELL, F.col("l_partkey").alias("feature_id")).agg(
+        """Count triplets, stored by cell as a counts table would be."""
+        triplets = self.lines.groupBy(*CELL, F.col("l_partkey").alias("feature_id")).agg(
             F.sum("l_quantity").cast("bigint").alias("n")
         )
+        return store_bucketed(triplets, "counts", CELL)
 
     @cached_property
     def features(self) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators count on: adaptive plans, skewed joins split even where
 # that costs another shuffle, and per-partition overwrite for the sinks.
 SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -45,7 +47,24 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def checkpoint(df):
+def store_bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Writes ``df`` as a table in the shared folder, bucketed by ``keys``.
+
+    Windows, sums and joins on the keys then read it without a shuffle.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
+        .option("path", f"{shared_dir(spark)}/{table}")
+        .saveAsTable(table)
+    )
+    return spark.table(table)
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
     """Cuts the lineage of ``df`` with a reliable checkpoint."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
