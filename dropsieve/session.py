@@ -47,13 +47,12 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def store_bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+def store_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
     """Writes ``df`` as a table in the shared folder, bucketed by ``keys``.
 
     Windows, sums and joins on the keys then read it without a shuffle.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{name}_{uuid.uuid4().hex}"
     (
         df.repartition(buckets, *keys)
