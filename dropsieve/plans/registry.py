@@ -147,12 +147,12 @@ def nuclear_fraction(v):
 
 @query
 def nuclear_summary(v):
-    return nuclear.nuclear_summary(v.nuclear_fractions)
+    return nuclear.nuclear_summary(v.stored_nuclear)
 
 
 @query
 def nuclear_summary_rows(v):
-    return sinks.to_metric_rows(nuclear.nuclear_summary(v.nuclear_fractions))
+    return sinks.to_metric_rows(nuclear.nuclear_summary(v.stored_nuclear))
 
 
 @query

@@ -125,6 +125,10 @@ class Views:
         called = self.barcodes.where(F.col("call_set") == "denoised")
         return nuclear.nuclear_fraction(self.alignments, called)
 
+    @cached_property
+    def stored_nuclear(self) -> DataFrame:
+        return checkpoint(self.nuclear_fractions)
+
     @cached_property
     def nuclear_metrics(self) -> DataFrame:
         """The fractions under barcodes without suffix. One market segment has a
