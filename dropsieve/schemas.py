@@ -1,9 +1,5 @@
 """Schemas of the tables that are read from files, as DDL."""
 
-COUNTS = (
-    "sample_id STRING, modality STRING, barcode STRING, feature_id STRING, feature_name STRING, n BIGINT"
-)
-BARCODES = "sample_id STRING, call_set STRING, barcode STRING, ord BIGINT"
 ALIGNMENTS = "sample_id STRING, cb STRING, re STRING"
 FRAGMENTS = "chrom STRING, start BIGINT, end BIGINT, barcode STRING, read_support BIGINT"
 INTERVALS = "chrom STRING, start BIGINT, end BIGINT"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dropsieve import schemas
@@ -52,8 +52,6 @@ def _with_ordinal(df: DataFrame, out: str = "ord") -> DataFrame:
     Rows are counted per split and splits are shifted by those before them, so
     no task needs a whole file.
     """
-    from pyspark.sql import Window
-
     rows = _with_place(df)
     split = rows.groupBy("_file", "_at").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
     w = Window.partitionBy("_file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
