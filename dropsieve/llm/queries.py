@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dropsieve.llm import bpe, packing, rules
-from dropsieve.llm.common import table
+from dropsieve.llm import bpe, langid, packing, rules
+from dropsieve.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,6 +20,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path(RANKS))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(langid.learning_rows(docs))
+    held = F.coalesce(F.expr(f"{fold(folds=4)} = 2"), F.lit(False)).alias("held_out")
+    return langid.predict(docs, model).select("*", held)
+
+
 def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = rules.ledger(table(spark, sf_dir, "documents"))
     base = rules.POLICIES["base"]
@@ -37,7 +45,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_bpe, op6_rules, op8_packing)
+    f.__name__: f for f in (op3_bpe, op5_language, op6_rules, op8_packing)
 }
 
 _OP6 = """
