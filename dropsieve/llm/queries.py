@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropsieve.llm import bpe, langid, packing, rules
+from dropsieve.llm import bpe, langid, minhash, packing, rules
 from dropsieve.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -44,8 +44,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_bpe, op5_language, op6_rules, op8_packing)
+    f.__name__: f for f in (op3_bpe, op5_language, op6_rules, op8_packing, op9_near_dedup)
 }
 
 _OP6 = """
