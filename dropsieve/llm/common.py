@@ -15,11 +15,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dropsieve.session import shared_dir
 
 SLICE = 2 << 20
 BATCH_ROWS = 500
+MAX_BROADCAST_ROWS = 1_000_000  # of an id or two: some 20 MB
 
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True  # fixed values: the word separators \x20 \x09-\x0D
@@ -173,6 +175,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_most(df: DataFrame, rows: int) -> bool:
+    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+
+
+def small_side(ids: DataFrame) -> DataFrame:
+    """A table of ids, to be broadcast if it has at most ``MAX_BROADCAST_ROWS`` rows."""
+    return F.broadcast(ids) if at_most(ids, MAX_BROADCAST_ROWS) else ids
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

@@ -24,6 +24,7 @@ from dropsieve.llm.common import (
     mix,
     parts,
     prefix,
+    small_side,
     span_hash,
     stored,
     words,
@@ -32,7 +33,6 @@ from dropsieve.llm.graph import components
 
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
-MAX_BROADCAST_IDS = 1_000_000  # 8 MB of ids
 MORE_CENTRES = 8
 
 _LOW = np.arange(256, dtype=np.uint8)
@@ -139,12 +139,6 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return arrow_map(docs, run, "id long, shingles array<long>")
 
 
-def small_side(ids: DataFrame) -> DataFrame:
-    """``ids``, to be broadcast if it has at most ``MAX_BROADCAST_IDS`` rows."""
-    few = ids.select(F.lit(1)).limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
-    return F.broadcast(ids) if few else ids
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets share at least ``percent`` of their union."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))

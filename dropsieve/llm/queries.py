@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropsieve.llm import bpe, langid, minhash, packing, rules
+from dropsieve.llm import bpe, langid, minhash, packing, rules, substring, suffix
 from dropsieve.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"), length=50)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.round_trip(docs, public_tokenizers.path(RANKS))
@@ -48,8 +52,21 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.report(table(spark, sf_dir, "documents"), length=400)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_bpe, op5_language, op6_rules, op8_packing, op9_near_dedup)
+    f.__name__: f
+    for f in (
+        op2_substring_dedup,
+        op3_bpe,
+        op5_language,
+        op6_rules,
+        op8_packing,
+        op9_near_dedup,
+        op10_suffix_dedup,
+    )
 }
 
 _OP6 = """
