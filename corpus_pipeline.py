@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dropsieve.llm import packing, rules
+from dropsieve.llm import langid, minhash, packing, rules, substring
 from dropsieve.llm.common import table
 from dropsieve.session import shared_dir
 
@@ -17,6 +17,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.passing(docs)
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the texts of a language; all given labels of ``docs`` are learned from."""
+    return langid.accepted(docs, langid.fit(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group linked by a similarity of 0.8 on five-word shingles."""
+    return minhash.deduplicated(docs, width=5, percent=80)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 50 words and more that a document of smaller id has too."""
+    return substring.deduplicated(docs, length=50)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of 2,048 tokens."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -24,6 +39,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("language ID", language),
+    ("MinHash near-dedup", near_duplicates),
+    ("substring dedup", repeated_passages),
     ("best-fit packing", pack_sequences),
 ]
 
