@@ -5,16 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropsieve.llm import bpe, langid, minhash, packing, rules, substring, suffix
+from dropsieve.llm import bpe, langid, minhash, packing, quality, rules, substring, suffix, toxicity
 from dropsieve.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def _held_out() -> Column:
+    return F.coalesce(F.expr(f"{fold()} = 0"), F.lit(False)).alias("held_out")
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, *quality.learning_ids(docs, labels))
+    return quality.predict(docs, model).select("*", _held_out())
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(table(spark, sf_dir, "documents"), length=50)
 
@@ -24,6 +34,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path(RANKS))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, toxicity.learning_labels(labels))
+    return toxicity.predict(docs, model).select("*", _held_out())
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(langid.learning_rows(docs))
@@ -59,8 +75,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_quality,
         op2_substring_dedup,
         op3_bpe,
+        op4_toxicity,
         op5_language,
         op6_rules,
         op8_packing,
