@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dropsieve.llm.common import (
@@ -259,6 +259,14 @@ def _batch(cols: dict[str, pa.Array], end: pa.Array) -> pa.RecordBatch:
     )
 
 
+def _order(s: Search) -> Column:
+    """What is first in a group. By hash as far as that is free: in text that repeats a word, places
+    in their order would leave a group one by one, each a level deeper than the one before."""
+    if s.later_only:
+        return F.struct("doc", F.xxhash64("begin", "gid").alias("o"), "begin")
+    return F.struct(F.xxhash64("doc", "begin", "gid").alias("o"), "doc", "begin")
+
+
 def _first(s: Search, of: str = "h", other: str = "t") -> str:
     """SQL: is there, besides the first of a group, one that it counts for?"""
     return f"{of}.doc < {other}.doc" if s.later_only else f"{of} < {other}"
@@ -292,7 +300,7 @@ def repeated_spans(docs: DataFrame, s: Search) -> DataFrame:
         f" named_struct('core', h.left, 'begin', h.pos + {s.gram - s.core}))) AS e",
     )
     seeds = seeds.selectExpr("doc", "e.begin AS begin", "e.core AS gid").where("gid IS NOT NULL")
-    at = F.struct("doc", "begin")
+    at = _order(s)
     meet = seeds.groupBy("gid").agg(F.min(at).alias("h"), F.max(at).alias("t")).where(_first(s))
     seeds = stored(seeds.join(meet.select("gid"), "gid", "left_semi"), "meeting")
     rows = stored(_seed_rows(docs, seeds, s), "rows")
@@ -343,12 +351,11 @@ def _with_twins(spans: list[DataFrame], again: DataFrame, s: Search) -> DataFram
 def cut(docs: DataFrame, spans: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """Applies ``fn`` to batches of ``docs`` with ``_spans``: a list of lo and hi for each row.
 
-    A document's spans come together in one row, as its text does; they are distinct, and no more
-    than its anchors give.
+    A document's spans come together in one row, as its text does: one at most for each of its
+    places.
     """
-    per_doc = spans.groupBy(F.col("doc").alias("_doc")).agg(
-        F.collect_set(F.struct("lo", "hi")).alias("_spans")
-    )
+    longest = spans.groupBy(F.col("doc").alias("_doc"), "lo").agg(F.max("hi").alias("hi"))
+    per_doc = longest.groupBy("_doc").agg(F.collect_list(F.struct("lo", "hi")).alias("_spans"))
     both = docs.join(per_doc, F.col("doc_id").cast("long") == F.col("_doc"), "left").drop("_doc")
     return arrow_map(both, fn, schema)
 
