@@ -161,9 +161,15 @@ def hex_column(values: list[str]) -> pa.Array:
     return pa.array(values, pa.string())
 
 
-def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` on batches of bounded row count."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def arrow_map(
+    df: DataFrame, fn: Callable, schema: str, batch_rows: int = BATCH_ROWS
+) -> DataFrame:
+    """``mapInArrow`` on batches of bounded row count.
+
+    The bound is a session setting that holds when the job runs; a call with one of its own is to
+    be stored at once.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     return df.mapInArrow(fn, schema)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropsieve.llm import bpe, langid, minhash, packing, quality, rules, substring, suffix, toxicity
+from dropsieve.llm import bpe, langid, minhash, packing, quality, rules, substring, suffix, topk, toxicity
 from dropsieve.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -59,6 +59,10 @@ def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), query="vec_id % 50 = 0", k=5)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_toxicity,
         op5_language,
         op6_rules,
+        op7_top_k,
         op8_packing,
         op9_near_dedup,
         op10_suffix_dedup,
@@ -111,7 +116,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+_OP7 = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM e AS q JOIN e AS d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id AND len(q.v) = len(d.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+_OP2 = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+      FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 48)) AS i)),
+r AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS m FROM g) WHERE m < doc_id),
+c AS (SELECT DISTINCT doc_id, i + k AS i FROM r, range(50) AS t(k)),
+n AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id),
+k AS (SELECT w.doc_id, ws, coalesce(len(gone), 0) AS n_removed,
+             CASE WHEN gone IS NULL THEN ws
+                  ELSE list_filter(ws, lambda x, i: NOT list_contains(gone, i)) END AS kept
+      FROM w LEFT JOIN n USING (doc_id))
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256
+FROM k
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": _OP2,
+    "op7_top_k": _OP7,
     "op6_rules": _OP6.format(
         bits=" + ".join(
             f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, (_, rule) in enumerate(rules.RULES)
