@@ -7,8 +7,10 @@ not the batch. A null text counts as an empty one everywhere.
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -173,12 +175,33 @@ def arrow_map(
     return df.mapInArrow(fn, schema)
 
 
+_kept_at: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: its lineage ends there."""
+    """``df`` written as Parquet to the shared folder and read again: its lineage ends there.
+
+    Shuffle files go when the driver's JVM finds that nothing refers to them; it is asked to look,
+    for steps that follow at once leave it no other occasion.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _kept_at[out] = path
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes what ``stored`` has written, once all that was read from it is stored itself."""
+    for df in tables:
+        path = _kept_at.pop(df, None)
+        if path:
+            jvm = df.sparkSession.sparkContext._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def at_most(df: DataFrame, rows: int) -> bool:

@@ -10,9 +10,10 @@ equal places. Around an anchor lie all the strings that it can stand for.
    start or to the left of its end, so seeds meet only where one of these two cores is equal.
 3. Seeds with an equal core are compared with the first of them, to the left and to the right. What
    else a seed may share it shares with seeds that leave the first one at the same place by the same
-   symbol: they are a group of the next round, a node one level down in a trie of branching points.
-   No pairs are formed, a round has a row per seed and branch, and a group of any size is spread
-   over tasks by the join.
+   symbol: they are a node one level down in a trie of branching points. No pairs are formed.
+   Groups of up to ``LOCAL`` seeds go through all levels inside a task, many at a time. Larger ones
+   take a level per round, spread over tasks by a join with their first seed, until their branches
+   are small.
 
 Symbols are compared by 64-bit hashes or, for bytes, as they are; surroundings by 64-bit hashes.
 """
@@ -33,6 +34,7 @@ from dropsieve.llm.common import (
     U,
     arrow_map,
     at_most,
+    drop,
     mix,
     parts,
     prefix,
@@ -182,6 +184,8 @@ _ROW = ["gid", "lmin", "rmin", "doc", "begin", "la", "ra", "l", "r"]
 _SCHEMA = (
     "gid long, lmin int, rmin int, doc long, begin long, la int, ra int, l binary, r binary"
 )
+LOCAL = 4096
+_CHUNK = 16_384
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
@@ -205,48 +209,120 @@ def _shared_run(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(differs.any(axis=1), differs.argmax(axis=1), a.shape[1])
 
 
-def _extend(s: Search) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows beside the first of their group: the spans they share, and rows of the next round."""
+def _columns(b: pa.RecordBatch, s: Search) -> dict[str, np.ndarray]:
+    out = {}
+    for name in b.schema.names:
+        col = b.column(name)
+        if pa.types.is_binary(col.type):
+            out[name] = _matrix(col, s.dtype, s.margin)
+        else:
+            out[name] = col.to_numpy(zero_copy_only=False)
+    return out
+
+
+def _compare(
+    s: Search, row: dict[str, np.ndarray], lead: dict[str, np.ndarray]
+) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, str, np.ndarray]]]:
+    """Rows and the first rows of their groups: spans (doc, lo, hi) that they share, and who goes on
+    to the next level: rows, their new groups, and the side and depth at which they have left."""
     m, core = s.margin, s.core
+    go = {}
+    for way, have in (("l", "la"), ("r", "ra")):
+        same = _shared_run(row[way], lead[way])
+        go[way] = np.minimum(same, np.minimum(row[have], lead[have])).astype(np.int64)
+    full = go["l"] + go["r"] >= m
+    if s.later_only:
+        full &= lead["doc"] < row["doc"]
+    k = np.flatnonzero(full)
+    sides = [row] if s.later_only else [row, lead]
+    spans = np.concatenate(
+        [
+            np.stack([x["doc"][k], x["begin"][k] - go["l"][k], x["begin"][k] + core + go["r"][k]])
+            for x in sides
+        ],
+        axis=1,
+    )
+    more = []
+    for way, have, floor in (("l", "la", "rmin"), ("r", "ra", "lmin")):
+        i = np.flatnonzero((go[way] < np.minimum(m, row[have])) & (go[way] + 1 + row[floor] <= m))
+        at = go[way][i]
+        by = row[way][i, at].astype(np.uint64) if m else at.astype(np.uint64)
+        gid = mix(row["gid"][i].view(np.uint64) + mix(by + U(1)))
+        gid = mix(gid + (2 * at + (way == "r")).astype(np.uint64)).view(np.int64)
+        more.append((i, gid, way + "min", (at + 1).astype(np.int32)))
+    return np.unique(spans, axis=1), more
+
+
+def _spread(s: Search) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One level of large groups: rows come beside the first of their group, under h names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            num = {
-                k: b.column(k).to_numpy(zero_copy_only=False)
-                for k in ("gid", "lmin", "rmin", "doc", "begin", "la", "ra", "hdoc", "hbegin", "hla", "hra")
-            }
-            side = {k: _matrix(b.column(k), s.dtype, m) for k in ("l", "r", "hl", "hr")}
-            go_l = np.minimum(_shared_run(side["l"], side["hl"]), np.minimum(num["la"], num["hla"]))
-            go_r = np.minimum(_shared_run(side["r"], side["hr"]), np.minimum(num["ra"], num["hra"]))
-            full = go_l + go_r >= m
-            if s.later_only:
-                full &= num["hdoc"] < num["doc"]
-            k = np.flatnonzero(full)
-            doc, lo = num["doc"][k], num["begin"][k] - go_l[k]
-            hi = num["begin"][k] + core + go_r[k]
-            if not s.later_only:
-                doc = np.append(doc, num["hdoc"][k])
-                lo = np.append(lo, num["hbegin"][k] - go_l[k])
-                hi = np.append(hi, num["hbegin"][k] + core + go_r[k])
-            spans = np.unique(np.stack([doc, lo, hi]), axis=1) if len(k) else np.zeros((3, 0), np.int64)
+            col = _columns(b, s)
+            row = {k: v for k, v in col.items() if not k.startswith("h")}
+            spans, more = _compare(s, row, {k[1:]: v for k, v in col.items() if k.startswith("h")})
             none = pa.nulls(spans.shape[1])
             cols = dict.fromkeys(_ROW, none) | {"doc": pa.array(spans[0]), "begin": pa.array(spans[1])}
             yield _batch(cols, pa.array(spans[2]))
-            for way, go, have, floor in (("l", go_l, "la", "rmin"), ("r", go_r, "ra", "lmin")):
-                more = np.flatnonzero((go < np.minimum(m, num[have])) & (go + 1 + num[floor] <= m))
-                if not len(more):
-                    continue
-                by = side[way][more, go[more]].astype(np.uint64)
-                gid = mix(num["gid"][more].view(np.uint64) + mix(by + U(1)))
-                gid = mix(gid + (2 * go[more] + (way == "r")).astype(np.uint64))
-                at = pa.array(more)
-                cols = {c: b.column(c).take(at) for c in _ROW} | {
-                    "gid": pa.array(gid.view(np.int64)),
-                    way + "min": pa.array((go[more] + 1).astype(np.int32)),
-                }
-                yield _batch(cols, pa.nulls(len(more), pa.int64()))
+            for i, gid, least, depth in more:
+                cols = {c: b.column(c).take(pa.array(i)) for c in _ROW}
+                cols |= {"gid": pa.array(gid), least: pa.array(depth)}
+                yield _batch(cols, pa.nulls(len(i), pa.int64()))
+
+    return run
+
+
+def _grouped(s: Search, row: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Rows in order of groups, without groups that hold one place, or document, only; and for each
+    the place of the first of its group."""
+    hashed = mix(row["begin"].view(np.uint64) ^ mix(row["gid"].view(np.uint64)))
+    by = (hashed, row["doc"], row["gid"]) if s.later_only else (row["begin"], row["doc"], hashed, row["gid"])
+    order = np.lexsort(by)
+    gid, doc, begin = (row[k][order] for k in ("gid", "doc", "begin"))
+    new = np.ones(len(order), bool)
+    new[1:] = gid[1:] != gid[:-1]
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    other = doc != doc[first]
+    if not s.later_only:
+        other |= begin != begin[first]
+    alive = np.zeros(len(order), bool)
+    alive[first[other]] = True
+    keep = alive[first]
+    at = np.cumsum(keep) - 1
+    return {k: v[order[keep]] for k, v in row.items()}, at[first[keep]]
+
+
+def _inside(s: Search) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """All levels of small groups, whose rows come in order of groups."""
+
+    def solved(row: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        while len(row["gid"]):
+            row, first = _grouped(s, row)
+            rest = np.flatnonzero(first != np.arange(len(first)))
+            beside = {k: v[rest] for k, v in row.items()}
+            spans, more = _compare(s, beside, {k: v[first[rest]] for k, v in row.items()})
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in spans], ["doc", "lo", "hi"])
+            branches = [
+                {k: v[i] for k, v in beside.items()} | {"gid": gid, least: depth}
+                for i, gid, least, depth in more
+            ]
+            row = {k: np.concatenate([x[k] for x in branches]) for k in row}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(_columns(b, s))
+            if sum(len(x["gid"]) for x in held) >= _CHUNK:
+                row = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
+                cut_at = int(np.searchsorted(row["gid"], row["gid"][-1]))
+                yield from solved({k: v[:cut_at] for k, v in row.items()})
+                held = [{k: v[cut_at:] for k, v in row.items()}]
+        if held:
+            yield from solved({k: np.concatenate([x[k] for x in held]) for k in held[0]})
 
     return run
 
@@ -259,6 +335,12 @@ def _batch(cols: dict[str, pa.Array], end: pa.Array) -> pa.RecordBatch:
     )
 
 
+def _local_spans(rows: DataFrame, s: Search) -> DataFrame:
+    """The spans of groups of ``LOCAL`` rows at most."""
+    dealt = rows.select(*_ROW).repartition("gid").sortWithinPartitions("gid")
+    return stored(arrow_map(dealt, _inside(s), "doc long, lo long, hi long").distinct(), "spans")
+
+
 def _order(s: Search) -> Column:
     """What is first in a group. By hash as far as that is free: in text that repeats a word, places
     in their order would leave a group one by one, each a level deeper than the one before."""
@@ -267,28 +349,24 @@ def _order(s: Search) -> Column:
     return F.struct(F.xxhash64("doc", "begin", "gid").alias("o"), "doc", "begin")
 
 
-def _first(s: Search, of: str = "h", other: str = "t") -> str:
-    """SQL: is there, besides the first of a group, one that it counts for?"""
-    return f"{of}.doc < {other}.doc" if s.later_only else f"{of} < {other}"
-
-
 def repeated_spans(docs: DataFrame, s: Search) -> DataFrame:
     """doc, lo and hi: the union of the spans of a document is what its counting places cover.
 
     Rows that repeat a doc_id must repeat its text and are one document. Null ids are left out.
     """
     found = stored(anchors(docs, s), "anchors")
-    place = F.struct("doc", "pos")
+    place = F.xxhash64("doc", "pos")
     classes = stored(
         found.groupBy("x").agg(
-            F.min(F.struct("doc", "pos", "right", "left")).alias("h"), F.max(place).alias("t")
+            F.min(F.struct("doc", "pos", "right", "left")).alias("h"),
+            (F.min(place) < F.max(place)).alias("several"),
         ),
         "classes",
     )
-    several = classes.where("struct(h.doc, h.pos) < t").select("x", "h", "t")
-    joined = found.join(several, "x").select("x", "doc", "pos", "h", "t")
-    again = stored(joined, "copies")
-    settled = again.where("doc > h.doc" if s.later_only else "true")
+    several = classes.where("several").selectExpr("x", "h.doc AS hdoc", "h.pos AS hpos")
+    again = stored(found.join(several, "x").select("doc", "pos", "hdoc", "hpos"), "copies")
+    drop(found)
+    settled = again.where("doc > hdoc" if s.later_only else "true")
     spans = [
         settled.selectExpr("doc", f"greatest(pos - {s.reach}, 0) AS lo", f"pos + {s.length} AS hi")
     ]
@@ -300,24 +378,40 @@ def repeated_spans(docs: DataFrame, s: Search) -> DataFrame:
         f" named_struct('core', h.left, 'begin', h.pos + {s.gram - s.core}))) AS e",
     )
     seeds = seeds.selectExpr("doc", "e.begin AS begin", "e.core AS gid").where("gid IS NOT NULL")
-    at = _order(s)
-    meet = seeds.groupBy("gid").agg(F.min(at).alias("h"), F.max(at).alias("t")).where(_first(s))
-    seeds = stored(seeds.join(meet.select("gid"), "gid", "left_semi"), "meeting")
-    rows = stored(_seed_rows(docs, seeds, s), "rows")
-    while not rows.isEmpty():
-        heads = rows.groupBy("gid").agg(F.min(at).alias("h"), F.max(at).alias("t")).where(_first(s))
-        heads = heads.select("gid", F.col("h.doc").alias("doc"), F.col("h.begin").alias("begin"))
-        lead = rows.join(heads, ["gid", "doc", "begin"]).select(
-            "gid", *(F.col(c).alias("h" + c) for c in ("doc", "begin", "la", "ra", "l", "r"))
-        )
-        lead = lead.dropDuplicates(["gid"])
+    seeds = stored(seeds.join(_meeting(seeds, s), "gid"), "meeting")
+    drop(classes)
+    spans.append(_local_spans(_seed_rows(docs, seeds.where(f"n <= {LOCAL}"), s), s))
+    large = seeds.where(f"n > {LOCAL}")
+    rows = None if large.isEmpty() else stored(_seed_rows(docs, large, s), "rows")
+    drop(seeds)
+    while rows is not None:
+        own = F.struct(_order(s).alias("o"), *(c for c in _ROW if c != "gid"))
+        lead = rows.groupBy("gid").agg(F.min(own).alias("h"))
+        lead = lead.select("gid", *(F.col("h." + c).alias("h" + c) for c in _ROW[3:]))
         beside = rows.join(lead, "gid").where("NOT (doc = hdoc AND begin = hbegin)")
-        out = stored(arrow_map(beside, _extend(s), _SCHEMA + ", end long"), "extended")
-        spans.append(out.where("end IS NOT NULL").selectExpr("doc", "begin AS lo", "end AS hi"))
-        rows = out.where("end IS NULL").drop("end")
+        out = stored(arrow_map(beside, _spread(s), _SCHEMA + ", end long"), "level")
+        drop(rows)
+        ended = out.where("end IS NOT NULL").selectExpr("doc", "begin AS lo", "end AS hi")
+        spans.append(stored(ended.distinct(), "spans"))
+        more = out.where("end IS NULL").drop("end")
+        more = stored(more.join(_meeting(more, s), "gid"), "branches")
+        drop(out)
+        spans.append(_local_spans(more.where(f"n <= {LOCAL}"), s))
+        large = more.where(f"n > {LOCAL}").drop("n")
+        rows = None if large.isEmpty() else stored(large, "rows")
+        drop(more)
     return _with_twins(spans, again, s) if s.later_only else _union(spans)
 
 
+def _meeting(rows: DataFrame, s: Search) -> DataFrame:
+    """The groups that hold more than one document, or place, and their sizes."""
+    what = F.col("doc") if s.later_only else F.xxhash64("doc", "begin")
+    ends = rows.groupBy("gid").agg(
+        F.min(what).alias("lo"), F.max(what).alias("hi"), F.count("*").alias("n")
+    )
+    return ends.where("lo < hi").select("gid", "n")
+
+
 def _union(spans: list[DataFrame]) -> DataFrame:
     out = spans[0]
     for x in spans[1:]:
@@ -328,8 +422,8 @@ def _union(spans: list[DataFrame]) -> DataFrame:
 def _with_twins(spans: list[DataFrame], again: DataFrame, s: Search) -> DataFrame:
     """A document may hold the first surroundings of a class several times: what was found about
     the first of these places holds for the others."""
-    twins = again.where("doc = h.doc AND pos > h.pos").selectExpr(
-        "doc", "h.pos AS first", "pos - h.pos AS shift"
+    twins = again.where("doc = hdoc AND pos > hpos").selectExpr(
+        "doc", "hpos AS first", "pos - hpos AS shift"
     )
     found = _union(spans[1:]) if len(spans) > 1 else None
     if found is None or twins.isEmpty():
