@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dropsieve.llm.common import stored
+from dropsieve.llm.common import drop, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,7 +19,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(_ordered(links.selectExpr("greatest(a, b) AS a", "least(a, b) AS b")), "links")
     before = None
     while True:
-        edges = stored(_small(_large(edges)), "links")
+        last, edges = edges, stored(_small(_large(edges)), "links")
+        drop(last)
         now = edges.selectExpr("count(*) AS n", "sum(cast(xxhash64(a, b) AS decimal(38))) AS h").first()
         if now == before:
             break

@@ -21,6 +21,7 @@ from dropsieve.llm.common import (
     U,
     arrow_map,
     byte_prefix,
+    drop,
     mix,
     parts,
     prefix,
@@ -189,7 +190,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "sets",
     )
     found = None  # id, component of members with a link
-    centres = 1
+    centres, before = 1, []
     while not buckets.isEmpty():
         placed = buckets.withColumn("component", F.col("rep"))
         if found is not None:
@@ -216,10 +217,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         )
         links = stored(confirmed(pairs, sets, percent), "confirmed")
         if not links.isEmpty():
+            new = links
             if found is not None:
-                links = links.unionByName(found.selectExpr("id AS a", "component AS b"))
-            found = stored(components(links), "components")
+                new = links.unionByName(found.selectExpr("id AS a", "component AS b"))
+            found = stored(components(new), "components")
         gone = leads.select("key", F.col("lead").alias("rep"))
+        drop(buckets, *before)
+        before = [placed, leads, links]
         buckets = placed.select("key", "rep").join(gone, ["key", "rep"], "left_anti")
         centres *= MORE_CENTRES
     out = all_docs.join(classes, digest, "left")

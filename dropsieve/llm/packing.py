@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dropsieve.llm.common import arrow_map, parts, stored
+from dropsieve.llm.common import arrow_map, drop, parts, stored
 from dropsieve.llm.pieces import PieceIds
 
 _PARTITION = 33  # bits of monotonically_increasing_id() that count rows
@@ -193,7 +193,8 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """``pieces`` with sequence_id and offset; sequences are gapless from 0 and at most ``capacity``.
 
-    Needs doc_id, piece and a length of 1 to ``capacity``; other columns are carried along. To the
+    Needs doc_id, piece and a length of 1 to ``capacity``; other columns are carried along. If
+    ``pieces`` is a table that ``stored`` has written, it is deleted. To the
     driver go the row count of each sorted partition and of each length, never rows.
     """
     ranked = stored(
@@ -202,6 +203,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
         .withColumn("_at", F.monotonically_increasing_id()),
         "ranked",
     )
+    drop(pieces)
     part = F.shiftright("_at", _PARTITION).alias("part")
     sizes = {r["part"]: r["count"] for r in ranked.groupBy(part).count().collect()}
     counts = {r["length"]: r["count"] for r in ranked.groupBy("length").count().collect()}

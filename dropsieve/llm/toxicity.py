@@ -155,6 +155,15 @@ class LabelModel:
         return sigmoid(np.log(self.prior / (1 - self.prior)) + v @ gain)
 
 
+def _weights(rest: np.ndarray) -> np.ndarray:
+    """One over the number of voters that each goes with, itself included."""
+    cov = rest.T @ rest
+    scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+    tie = np.clip(cov / np.outer(scale, scale), 0, 1)
+    tie[tie < 0.3] = 0
+    return 1 / np.maximum(tie.sum(axis=1), 1)
+
+
 def label_model(
     v: np.ndarray, toxic: np.ndarray, other: np.ndarray, prior: float, trust: float = 4.0
 ) -> LabelModel:
@@ -164,7 +173,7 @@ def label_model(
     rows, so that the voters' majority cannot drift away from what the label means.
     """
     v = v.astype(np.float64)
-    m = LabelModel(toxic, other, np.ones(v.shape[1]), prior)
+    m = LabelModel(toxic, other, _weights(v - v.mean(axis=0)), prior)
     for _ in range(25):
         q = m.posterior(v)
         on, off = q.sum(), (1 - q).sum()
@@ -173,12 +182,7 @@ def label_model(
         held = trust * (1 - prior) * len(v)
         m.other = np.clip(((1 - q) @ v + held * other) / (off + held), 1e-6, 1 - 1e-6)
         # What voters share beyond the label.
-        rest = v - q[:, None] * m.toxic - (1 - q)[:, None] * m.other
-        cov = rest.T @ rest
-        scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        tie = np.clip(cov / np.outer(scale, scale), 0, 1)
-        tie[tie < 0.3] = 0
-        m.weight = 1 / np.maximum(tie.sum(axis=1), 1)
+        m.weight = _weights(v - q[:, None] * m.toxic - (1 - q)[:, None] * m.other)
     return m
 
 
