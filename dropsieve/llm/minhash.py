@@ -2,10 +2,11 @@
 
 One hash of every shingle falls into one of ``BINS`` bins by its leading bits; the smallest of a bin
 is its value, and an empty bin copies a full one that a hash of its own chooses (optimal
-densification). Bins are joined to bands, equal bands to buckets. A bucket emits no pairs but stars:
-its members meet a few centres, and every candidate is confirmed on the full sets. Centres leave,
-and a bucket whose remaining members lie in more than one component gets new and more centres, until
-no such bucket is left. So any two members have met, or are known to be connected.
+densification). Bins are joined to bands, equal bands to buckets. A bucket emits no pairs but a star:
+its members meet its centre, the one that shares most bands with others, and every candidate is
+confirmed on the full sets. Where a bucket then still holds more than one component, its members go
+through an exact join on their rarest shingles, so that no link between two members of a bucket is
+lost for not being one with the centre.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropsieve.llm.common import (
@@ -34,7 +35,6 @@ from dropsieve.llm.graph import components
 
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
-MORE_CENTRES = 8
 
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
@@ -156,6 +156,45 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _placed(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    if found is None:
+        return members.withColumn("component", F.col("rep"))
+    of = F.coalesce("component", "rep").alias("component")
+    return members.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", of)
+
+
+def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of ``members`` (rep, component) in different components that can be similar enough.
+
+    Two sets that share ``percent`` of their union share one of their rarest shingles: of a set of n
+    the ``n - ceil(percent * n / 100) + 1`` rarest, in one order for all. What only one set holds
+    joins nothing, so an edited copy brings its own shingles to its front and meets few.
+    """
+    tokens = sets.join(members.select(F.col("rep").alias("id")), "id", "left_semi").select(
+        "id", F.size("shingles").alias("n"), F.explode("shingles").alias("s")
+    )
+    often = tokens.groupBy("s").agg(F.count("*").alias("f"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("f", "s"))
+    front = (
+        tokens.join(often, "s")
+        .withColumn("place", place)
+        .where(f"place <= n - ({percent} * n + 99) div 100 + 1 AND f > 1")
+        .join(members.withColumnRenamed("rep", "id"), "id")
+        .select("s", "id", "n", "component")
+    )
+    mixed = front.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    front = stored(front.join(mixed.where("lo < hi").select("s"), "s", "left_semi"), "front")
+    other = front.toDF("s", "b", "nb", "cb")
+    near = f"100 * least(n, nb) >= {percent} * greatest(n, nb)"
+    return (
+        front.join(other, "s")
+        .where("id < b AND component <> cb")
+        .where(near)
+        .select(F.col("id").alias("a"), "b")
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
@@ -175,57 +214,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     keys = some.join(
         classes.withColumnRenamed("rep", "doc_id"), [*digest, "doc_id"], "left_semi"
     ).select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
+    shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("n"))
     buckets = stored(
-        keys.join(shared.where("lo < hi").select("key"), "key", "left_semi").distinct(), "buckets"
+        keys.join(shared.where("lo < hi").select("key", "n"), "key").distinct(), "buckets"
     )
-    members = stored(buckets.select("rep").distinct().withColumnRenamed("rep", "id"), "members")
-    sets = stored(
-        full_sets(
-            docs.where("doc_id IS NOT NULL").join(
-                small_side(members.withColumnRenamed("id", "doc_id")), "doc_id", "left_semi"
-            ),
-            width,
-        ).dropDuplicates(["id"]),
-        "sets",
+    # How many others share a document's bands tells how central it is among them.
+    members = buckets.groupBy(F.col("rep").alias("id")).agg(F.sum("n").alias("popular"))
+    members = stored(members, "members")
+    wanted = members.select(F.col("id").alias("doc_id"))
+    sets = full_sets(docs.where("doc_id IS NOT NULL").join(small_side(wanted), "doc_id", "left_semi"), width)
+    sets = stored(sets.dropDuplicates(["id"]), "sets")
+
+    ranked = buckets.join(members.withColumnRenamed("id", "rep"), "rep")
+    leads = ranked.groupBy("key").agg(F.min(F.struct(-F.col("popular"), "rep")).alias("lead"))
+    leads = stored(leads.select("key", F.col("lead.rep").alias("lead")), "leads")
+    pairs = (
+        buckets.join(leads, "key")
+        .where("rep <> lead")
+        .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"))
+        .distinct()
     )
-    found = None  # id, component of members with a link
-    centres, before = 1, []
-    while not buckets.isEmpty():
-        placed = buckets.withColumn("component", F.col("rep"))
-        if found is not None:
-            placed = buckets.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-                "key", "rep", F.coalesce("component", "rep").alias("component")
-            )
-        spread = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        placed = stored(
-            placed.join(spread.where("lo < hi").select("key"), "key", "left_semi"), "placed"
-        )
-        # The smallest member of each of ``centres`` parts of a bucket is a centre.
-        part = F.pmod(F.xxhash64("rep", F.lit(centres)), F.lit(centres))
-        leads = (
-            placed.groupBy("key", part.alias("part"))
-            .agg(F.min(F.struct("rep", "component")).alias("lead"))
-            .select("key", F.col("lead.rep").alias("lead"), F.col("lead.component").alias("of"))
-        )
-        leads = stored(leads, "leads")
-        pairs = (
-            placed.join(leads, "key")
-            .where("component <> of")
-            .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"))
-            .distinct()
-        )
-        links = stored(confirmed(pairs, sets, percent), "confirmed")
-        if not links.isEmpty():
-            new = links
-            if found is not None:
-                new = links.unionByName(found.selectExpr("id AS a", "component AS b"))
+    links = stored(confirmed(pairs, sets, percent), "confirmed")
+    found = None if links.isEmpty() else stored(components(links), "components")
+
+    # The centre has met all; what is open are links between others in different components.
+    rest = buckets.join(leads, "key").where("rep <> lead").select("key", "rep")
+    rest = _placed(rest, found)
+    open_keys = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rest = rest.join(open_keys.where("lo < hi").select("key"), "key", "left_semi")
+    rest = stored(rest.select("rep", "component").distinct(), "open")
+    if not rest.isEmpty():
+        more = stored(confirmed(prefix_pairs(rest, sets, percent), sets, percent), "confirmed")
+        if not more.isEmpty():
+            new = more.unionByName(links)
             found = stored(components(new), "components")
-        gone = leads.select("key", F.col("lead").alias("rep"))
-        drop(buckets, *before)
-        before = [placed, leads, links]
-        buckets = placed.select("key", "rep").join(gone, ["key", "rep"], "left_anti")
-        centres *= MORE_CENTRES
+    drop(buckets, members, leads, rest)
     out = all_docs.join(classes, digest, "left")
     if found is not None:
         out = out.join(found.withColumnRenamed("id", "rep"), "rep", "left")
