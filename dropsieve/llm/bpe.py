@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dropsieve.llm.cache import kept
 from dropsieve.llm.common import arrow_map, gather, hex_column, parts, per_text
 from dropsieve.llm.pieces import PieceIds
 
@@ -199,15 +200,13 @@ class Decoder:
         return gather(self.flat, self.start[ids], self.size[ids])
 
 
-_loaded: dict[str, tuple[PieceIds, Decoder]] = {}
-
-
 def _codec(path: str) -> tuple[PieceIds, Decoder]:
     """Of a Python worker: it outlives tasks, and so do the pieces it knows."""
-    if path not in _loaded:
+    key = "bpe", path
+    if key not in kept():
         ranks = read_ranks(path)
-        _loaded[path] = PieceIds(Encoder(ranks).encode_many), Decoder(ranks)
-    return _loaded[path]
+        kept()[key] = PieceIds(Encoder(ranks).encode_many), Decoder(ranks)
+    return kept()[key]
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:

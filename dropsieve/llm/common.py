@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dropsieve.llm.cache import kept
 from dropsieve.session import shared_dir
 
 SLICE = 2 << 20
@@ -44,20 +45,18 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 
-_powers: list[np.ndarray] = []
-
-
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base ** i`` and ``base ** -i`` modulo 2**64 for ``i < n``."""
-    if not _powers or len(_powers[0]) < n:
+    have = kept().get("powers")
+    if have is None or len(have[0]) < n:
         size = max(n, SLICE + 2)
         out = []
         for b in (_BASE, pow(_BASE, -1, 1 << 64)):
             p = np.full(size, b, np.uint64)
             p[0] = 1
             out.append(np.multiply.accumulate(p))
-        _powers[:] = out
-    return _powers[0][:n], _powers[1][:n]
+        have = kept()["powers"] = out
+    return have[0][:n], have[1][:n]
 
 
 def prefix(values: np.ndarray) -> np.ndarray:

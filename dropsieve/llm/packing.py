@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dropsieve.llm.cache import kept
 from dropsieve.llm.common import arrow_map, drop, parts, stored
 from dropsieve.llm.pieces import PieceIds
 
@@ -95,9 +96,6 @@ def _is_text(token: bytes) -> bool:
     return True
 
 
-_loaded: dict[str, PieceIds] = {}
-
-
 def token_pieces(
     docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, keep_ids: bool = False
 ) -> DataFrame:
@@ -109,9 +107,10 @@ def token_pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _loaded:
-            _loaded[path] = PieceIds(piece_encoder(path))
-        known = _loaded[path]
+        key = "packing", path
+        if key not in kept():
+            kept()[key] = PieceIds(piece_encoder(path))
+        known = kept()[key]
         for b in batches:
             for i, j, buf, off in parts(b.column("text")):
                 ids, at = known.slice_ids(buf, off)

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
+from dropsieve.llm.cache import kept
 from dropsieve.llm.common import byte_prefix, gather, parts, span_hash
 
 # The code points that \s matches in the pattern.
@@ -27,12 +28,11 @@ _WHITE = (
     0x3000,
 )
 SPACE, WHITE, LETTER, NUMBER, OTHER = range(5)
-_table: list[np.ndarray] = []
 
 
 def char_classes() -> np.ndarray:
     """The class of every code point."""
-    if not _table:
+    if "classes" not in kept():
         t = np.full(0x110000, OTHER, np.uint8)
         for c in range(0x110000):
             kind = unicodedata.category(chr(c))[0]
@@ -42,8 +42,8 @@ def char_classes() -> np.ndarray:
                 t[c] = NUMBER
         t[list(_WHITE)] = WHITE
         t[0x20] = SPACE
-        _table.append(t)
-    return _table[0]
+        kept()["classes"] = t
+    return kept()["classes"]
 
 
 def code_points(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
