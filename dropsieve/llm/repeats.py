@@ -165,7 +165,7 @@ def _seed_rows(docs: DataFrame, seeds: DataFrame, s: Search) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             gid[z],
-                            *(pa.array(np.zeros(len(left), np.int32)) for _ in range(2)),
+                            *(pa.array(np.full(len(left), v, np.int32)) for v in (0, m)),
                             b.column("doc_id").slice(i, j - i).take(pa.array(text[z])),
                             pa.array(begin[z] - off[text[z]]),
                             pa.array(la[z].astype(np.int32)),
@@ -180,11 +180,11 @@ def _seed_rows(docs: DataFrame, seeds: DataFrame, s: Search) -> DataFrame:
     return arrow_map(texts.select("doc_id", "text", "at"), run, _SCHEMA)
 
 
-_ROW = ["gid", "lmin", "rmin", "doc", "begin", "la", "ra", "l", "r"]
+_ROW = ["gid", "lmin", "lmax", "doc", "begin", "la", "ra", "l", "r"]
 _SCHEMA = (
-    "gid long, lmin int, rmin int, doc long, begin long, la int, ra int, l binary, r binary"
+    "gid long, lmin int, lmax int, doc long, begin long, la int, ra int, l binary, r binary"
 )
-LOCAL = 4096
+LOCAL = 16_384
 _CHUNK = 16_384
 
 
@@ -224,7 +224,7 @@ def _compare(
     s: Search, row: dict[str, np.ndarray], lead: dict[str, np.ndarray]
 ) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, str, np.ndarray]]]:
     """Rows and the first rows of their groups: spans (doc, lo, hi) that they share, and who goes on
-    to the next level: rows, their new groups, and the side and depth at which they have left."""
+    to the next level: rows, their new groups, and the bound that changes and its value."""
     m, core = s.margin, s.core
     go = {}
     for way, have in (("l", "la"), ("r", "ra")):
@@ -242,14 +242,23 @@ def _compare(
         ],
         axis=1,
     )
+    # A string of a group is told by how far it goes to the left of the core, from lmin to lmax.
+    # Those that go beyond the shared part on the left are one branch, and of the others those that
+    # go beyond it on the right: each string goes on in one branch.
+    left, right = go["l"], go["r"]
+    low, high = row["lmin"], np.minimum(np.minimum(left, row["lmax"]), m - right - 1)
+    onward = (
+        ("l", (left < row["la"]) & (left < row["lmax"]), "lmin", left + 1),
+        ("r", (right < row["ra"]) & (right < m) & (low <= high), "lmax", high),
+    )
     more = []
-    for way, have, floor in (("l", "la", "rmin"), ("r", "ra", "lmin")):
-        i = np.flatnonzero((go[way] < np.minimum(m, row[have])) & (go[way] + 1 + row[floor] <= m))
+    for way, goes, what, value in onward:
+        i = np.flatnonzero(goes)
         at = go[way][i]
-        by = row[way][i, at].astype(np.uint64) if m else at.astype(np.uint64)
+        by = row[way][i, at].astype(np.uint64)
         gid = mix(row["gid"][i].view(np.uint64) + mix(by + U(1)))
         gid = mix(gid + (2 * at + (way == "r")).astype(np.uint64)).view(np.int64)
-        more.append((i, gid, way + "min", (at + 1).astype(np.int32)))
+        more.append((i, gid, what, value[i].astype(np.int32)))
     return np.unique(spans, axis=1), more
 
 
