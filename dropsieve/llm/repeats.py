@@ -30,10 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dropsieve.llm.common import (
-    MAX_BROADCAST_ROWS,
     U,
     arrow_map,
-    at_most,
     drop,
     mix,
     parts,
@@ -135,12 +133,13 @@ def anchors(docs: DataFrame, s: Search) -> DataFrame:
 
 
 def _seed_rows(docs: DataFrame, seeds: DataFrame, s: Search) -> DataFrame:
-    """The margins of every seed's core, read from the texts; the left one from the core outwards."""
+    """The margins of every seed's core, read from the texts; the left one from the core outwards.
+
+    Seeds grow with the texts, so the two are always joined by a shuffle.
+    """
     m = s.margin
     per_doc = seeds.groupBy("doc").agg(F.collect_set(F.struct("gid", "begin")).alias("at"))
     per_doc = per_doc.withColumnRenamed("doc", "doc_id")
-    if at_most(seeds, MAX_BROADCAST_ROWS):
-        per_doc = F.broadcast(per_doc)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
