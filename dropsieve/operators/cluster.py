@@ -44,7 +44,8 @@ def _degrees(adj: DataFrame) -> DataFrame:
 def _proposals(
     adj: DataFrame, degrees: DataFrame, labels: DataFrame, resolution: float, active
 ) -> DataFrame:
-    """Labels after every active node took its best neighbouring label."""
+    """Labels after every active node took its best neighbouring label, those before, and the gain
+    of modularity that each move by itself promises."""
     at = labels.join(degrees, [SAMPLE, "u"])
     weight = at.groupBy(SAMPLE, "c").agg(F.sum("k").alias("kc"))
     lv = labels.select(SAMPLE, F.col("u").alias("v"), "c")
@@ -52,6 +53,7 @@ def _proposals(
     stay = labels.select(SAMPLE, "u", "c", F.lit(0.0).alias("a"))
     options = links.unionByName(stay).groupBy(SAMPLE, "u", "c").agg(F.sum("a").alias("w"))
     own = at.select(SAMPLE, "u", "k", "m2", F.col("c").alias("c0"))
+    own = own.where(active)
     is_own = F.col("c") == F.col("c0")
     rest = F.col("kc") - F.when(is_own, F.col("k")).otherwise(0.0)
     gain = F.round(F.col("w") - resolution * F.col("k") * rest / F.col("m2"), 9)
@@ -64,47 +66,54 @@ def _proposals(
             F.min_by("c", F.struct(-F.col("g"), F.col("c"))).alias("to"),
             F.max("g").alias("g1"),
             F.max(F.when(is_own, F.col("g"))).alias("g0"),
+            F.max("m2").alias("m2"),
         )
     )
-    better = active & (F.col("g1") > F.col("g0") + GAIN_EPS)
+    better = F.col("g1") > F.col("g0") + GAIN_EPS
     return labels.join(best, [SAMPLE, "u"], "left").select(
-        SAMPLE, "u", F.when(better, F.col("to")).otherwise(F.col("c")).alias("c"), F.col("c").alias("c0")
+        SAMPLE,
+        "u",
+        F.when(better, F.col("to")).otherwise(F.col("c")).alias("c"),
+        F.col("c").alias("c0"),
+        F.when(better, 2 * (F.col("g1") - F.col("g0")) / F.col("m2")).otherwise(0.0).alias("gain"),
     )
 
 
-def _scores(adj: DataFrame, moved: DataFrame, resolution: float) -> dict[str, tuple[float, int]]:
-    """Modularity and number of moves, one row per sample."""
-    q = modularity(adj, moved.select(SAMPLE, "u", "c"), resolution)
-    n = moved.groupBy(SAMPLE).agg(F.count_if(F.col("c") != F.col("c0")).alias("n"))
-    return {r[SAMPLE]: (r["q"], r["n"]) for r in n.join(q, SAMPLE).collect()}
-
-
 def local_moves(
-    adj: DataFrame, labels: DataFrame, resolution: float, seed: int, rounds: int
-) -> tuple[DataFrame, list[dict[str, float]]]:
-    """Labels after up to ``rounds`` rounds, and each sample's modularity after each.
+    adj: DataFrame, labels: DataFrame, resolution: float, seed: int, tolerance: float
+) -> DataFrame:
+    """Labels at which single moves gain less than ``tolerance`` of modularity in every sample.
 
-    A round's moves are kept for a sample only if its modularity does not fall.
-    It ends early when nothing moves in two rounds, one for each half.
+    In a round one part of the nodes, drawn anew by hash in every pass, takes its best labels
+    together. A sample keeps the round only if its modularity has risen: nodes that move at once
+    may spoil each other's gain. After a pass over all parts without a rise the parts become
+    smaller, down to single nodes in the end, unless what all moves promise is below the tolerance.
+    One row of sums a round goes to the driver.
     """
     degrees = checkpoint(_degrees(adj))
-    history: list[dict[str, float]] = []
-    quiet = 0
-    for r in range(rounds):
-        half = F.pmod(F.xxhash64("u", F.lit(seed)), F.lit(2)) == r % 2
-        moved = checkpoint(_proposals(adj, degrees, labels, resolution, half))
-        scores = _scores(adj, moved, resolution)
-        last = history[-1] if history else {}
-        fell = [s for s, (q, _) in scores.items() if q < last.get(s, float("-inf"))]
-        if fell:
-            keep = F.when(F.col(SAMPLE).isin(fell), F.col("c0")).otherwise(F.col("c"))
-            moved = checkpoint(moved.select(SAMPLE, "u", keep.alias("c"), "c0"))
-        labels = moved.select(SAMPLE, "u", "c")
-        history.append({s: last[s] if s in fell else q for s, (q, _) in scores.items()})
-        quiet = quiet + 1 if all(n == 0 for s, (_, n) in scores.items() if s not in fell) else 0
-        if quiet == 2:
-            break
-    return labels, history
+    labels = labels.select(SAMPLE, "u", "c")
+    reached = modularity(adj, labels, resolution).withColumnRenamed("q", "q0")
+    parts, idle, promised, r = 2, 0, 0.0, 0
+    while True:
+        part = F.pmod(F.xxhash64("u", F.lit(seed + r // parts)), F.lit(parts)) == r % parts
+        moved = checkpoint(_proposals(adj, degrees, labels, resolution, part))
+        promise = moved.groupBy(SAMPLE).agg(F.sum("gain").alias("promise"))
+        now = modularity(adj, moved, resolution).join(promise, SAMPLE).join(reached, SAMPLE)
+        rose = (F.col("q") > F.col("q0") + F.lit(tolerance)).alias("rose")
+        now = checkpoint(now.select(SAMPLE, "q", "q0", "promise", rose))
+        n, most = now.agg(F.count_if("rose"), F.max("promise")).first()
+        # Both are stored: a round's labels hang on them only.
+        kept = F.when(F.col("rose"), F.col("c")).otherwise(F.col("c0")).alias("c")
+        labels = moved.join(now, SAMPLE).select(SAMPLE, "u", kept)
+        reached = now.select(SAMPLE, F.when(F.col("rose"), F.col("q")).otherwise(F.col("q0")).alias("q0"))
+        r, promised = r + 1, max(promised, most or 0.0)
+        idle = 0 if n else idle + 1
+        if n:
+            promised = 0.0
+        elif idle == parts:
+            if promised < tolerance:
+                return labels
+            parts, idle, promised, r = parts * 4, 0, 0.0, 0
 
 
 def clusters(
@@ -112,23 +121,25 @@ def clusters(
     nodes: DataFrame,
     resolution: float = 0.2,
     seed: int = 1000,
-    levels: int = 3,
-    rounds: int = 8,
+    tolerance: float = 1e-6,
 ) -> DataFrame:
     """Cluster number per node, ``sample_id, id, cluster``; 0 is the largest cluster.
 
-    In a round half of the nodes, chosen by a seeded hash, take the neighbouring
-    label with the largest modularity gain, the smallest label among equals.
-    Then clusters become the nodes of the next level. ``nodes`` has
-    ``sample_id, id``; those without an edge stay alone.
+    Nodes take the neighbouring label with the largest modularity gain, the
+    smallest label among equals, until no moves gain ``tolerance`` of modularity
+    any more. Then clusters become the nodes of the next level, until a level
+    moves nothing. ``nodes`` has ``sample_id, id``; those without an edge stay
+    alone.
     """
     adj = checkpoint(adjacency(edges))
     member = checkpoint(nodes.select(SAMPLE, F.col("id"), F.col("id").alias("u")))
-    for level in range(levels):
+    level = 0
+    while True:
         start = member.select(SAMPLE, "u").distinct().withColumn("c", F.col("u"))
-        labels, _ = local_moves(adj, start, resolution, seed + level, rounds)
+        labels = local_moves(adj, start, resolution, seed + 1_000_003 * level, tolerance)
         if labels.where("u <> c").isEmpty():
-            break
+            return number_clusters(member.withColumnRenamed("u", "c"))
+        level += 1
         member = checkpoint(
             member.join(labels, [SAMPLE, "u"]).select(SAMPLE, "id", F.col("c").alias("u"))
         )
@@ -140,11 +151,10 @@ def clusters(
             .groupBy(SAMPLE, F.col("cu").alias("u"), F.col("cv").alias("v"))
             .agg(F.sum("a").alias("a"))
         )
-    return number_clusters(member.withColumnRenamed("u", "c"))
 
 
 def number_clusters(member: DataFrame) -> DataFrame:
-    """Numbers labels by falling size, ties by a hash of the label.
+    """Numbers labels by falling size, ties by a hash of the label and the label.
 
     A sample may have as many single-node labels as nodes, so the numbers come
     from the distributed rank.

@@ -17,14 +17,19 @@ class MissingModality(ValueError):
 
 
 def modalities(counts: DataFrame) -> DataFrame:
-    """Number of modalities per sample and whether expression and peaks are among them."""
+    """Number of modalities per sample and whether expression and peaks are among them.
+
+    The first modality is that of the feature of lowest ``ord``, where there is such a column, and
+    else the first by name.
+    """
     m = F.col("modality")
-    per = counts.groupBy(SAMPLE, m).agg(F.lit(1).alias("_one"))
+    place = F.min("ord") if "ord" in counts.columns else F.lit(0)
+    per = counts.groupBy(SAMPLE, m).agg(place.alias("_place"))
     return per.groupBy(SAMPLE).agg(
         F.count("*").alias("n_modalities"),
         F.max(m == GEX).alias("has_gex"),
         F.max(m == PEAKS).alias("has_peaks"),
-        F.min(m).alias("first_modality"),
+        F.min_by(m, F.struct("_place", m)).alias("first_modality"),
     )
 
 
@@ -44,14 +49,14 @@ def select_modality(counts: DataFrame, rule: str = "gex_or_first") -> DataFrame:
     """One modality per sample.
 
     ``gex_strict``: samples with several modalities must have expression, single
-    ones pass as they are. ``gex_if_multi``: the same without the stop, so a
-    sample without expression gives no rows. ``gex_or_first``: expression, else
-    the first modality in name order.
+    ones pass as they are. ``gex_if_multi``: likewise; a sample of several
+    modalities without expression is an error that names it. ``gex_or_first``:
+    expression, else the first modality.
     """
     info = modalities(counts)
     multi = F.col("n_modalities") > 1
     first = F.col("first_modality")
-    if rule == "gex_strict":
+    if rule in ("gex_strict", "gex_if_multi"):
         _stop_if_any(info.where(multi & ~F.col("has_gex")), "no Gene Expression modality")
     if rule in ("gex_strict", "gex_if_multi"):
         pick = F.when(multi, F.lit(GEX)).otherwise(first)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dropsieve.functions.scalars import CELL, SAMPLE
+from dropsieve.functions.sizing import fits_broadcast
 from dropsieve.functions.sizing import sized
 from dropsieve.params import EmbedParams
 
@@ -137,19 +138,22 @@ def marker_expression(cells: DataFrame, normalised: DataFrame, features: DataFra
     """Expression of one named feature in every cell.
 
     ``found`` tells whether the sample's feature axis has it; where it has not,
-    the expression is NULL.
+    the expression is NULL. Of several features of that name the first on the
+    axis counts, by ``ord`` or else by id.
     """
     keys = [c for c in (SAMPLE, "feature_id") if c in features.columns]
-    ids = features.where(F.col("feature_name") == name).select(*keys).distinct()
-    values = normalised.join(ids, keys, "left_semi").groupBy(*CELL).agg(F.sum("x").alias("_x"))
-    known = (
-        normalised.select(*FEATURE).distinct().join(ids, keys, "left_semi").select(SAMPLE).distinct()
-    )
+    place = F.col("ord") if "ord" in features.columns else F.col("feature_id")
+    named = features.where(F.col("feature_name") == name).select(*keys, place.alias("_place"))
+    axis = normalised.select(*FEATURE).distinct().join(named, keys)
+    first = F.min_by("feature_id", F.struct("_place", "feature_id")).alias("feature_id")
+    known = axis.groupBy(SAMPLE).agg(first)
+    values = normalised.join(F.broadcast(known) if fits_broadcast(known) else known, FEATURE)
+    values = values.select(*CELL, F.col("x").alias("_x"))
     found = F.col("_found").isNotNull()
     return (
         cells.select(*CELL)
         .join(values, CELL, "left")
-        .join(known.withColumn("_found", F.lit(1)), SAMPLE, "left")
+        .join(known.select(SAMPLE, F.lit(1).alias("_found")), SAMPLE, "left")
         .select(
             *CELL,
             F.lit(name).alias("feature_name"),

@@ -390,7 +390,7 @@ STATEMENTS["top_features"] = """
         row_number() OVER (PARTITION BY sample_id ORDER BY total DESC, feature_id) AS rank
     FROM shares QUALIFY rank <= 10"""
 STATEMENTS["top_features_overall"] = """
-    SELECT feature_id, CAST(sum(n) AS BIGINT) AS total FROM counts GROUP BY ALL ORDER BY total DESC, feature_id LIMIT 10"""
+    SELECT feature_id, CAST(sum(n) AS BIGINT) AS total FROM kept GROUP BY ALL ORDER BY total DESC, feature_id LIMIT 10"""
 STATEMENTS["recommended_thresholds"] = """
     SELECT sample_id, round_even(quantile_cont(n_feature, 0.01), 0) AS min_features,
         round_even(quantile_cont(n_feature, 0.99), 0) AS max_features,
@@ -536,10 +536,10 @@ STATEMENTS["marker_expression"] = """
     SELECT c.sample_id, c.barcode, 'large ring' AS feature_name, f.sample_id IS NOT NULL AS found,
         CASE WHEN f.sample_id IS NOT NULL THEN ROUND(coalesce(m.x, 0), 6) END AS x
     FROM plain_cells c LEFT JOIN (
-        SELECT sample_id, barcode, sum(x) AS x FROM normalised JOIN part ON feature_id = p_partkey
-        WHERE p_name = 'large ring' GROUP BY ALL) m USING (sample_id, barcode)
-    LEFT JOIN (SELECT DISTINCT sample_id FROM kept_axis JOIN part ON feature_id = p_partkey
-        WHERE p_name = 'large ring') f ON f.sample_id = c.sample_id"""
+        SELECT sample_id, min(feature_id) AS feature_id FROM kept_axis JOIN part ON feature_id = p_partkey
+        WHERE p_name = 'large ring' GROUP BY ALL) f ON f.sample_id = c.sample_id
+    LEFT JOIN normalised m
+        ON m.sample_id = c.sample_id AND m.barcode = c.barcode AND m.feature_id = f.feature_id"""
 STATEMENTS["feature_moments"] = """
     SELECT sample_id, feature_id, any_value(n_all) AS n_all, count(*) AS n_cells,
         ROUND(CAST(sum(n) AS DOUBLE) / any_value(n_all), 6) AS mean,
@@ -575,6 +575,7 @@ STATEMENTS["denoised_cells"] = """
         FROM called_kept JOIN part ON feature_id = p_partkey GROUP BY sample_id, barcode)"""
 STATEMENTS["stored_qc_tables"] = "SELECT sample_id, cells_pre, cells_post FROM kept_share"
 STATEMENTS["stored_metric_csv"] = STATEMENTS["doublet_summary"]
+STATEMENTS["mixed_metric_csv"] = STATEMENTS["doublet_summary"]
 STATEMENTS["stored_modalities"] = """
     SELECT sample_id, 'Peaks' AS modality, count(*) AS entries, CAST(sum(n) AS BIGINT) AS n
     FROM paired_peaks GROUP BY sample_id"""

@@ -28,7 +28,7 @@ from dropsieve.operators import (
 )
 from dropsieve.plans import runs
 from dropsieve.plans.views import ATAC, EMBED, QC, Views
-from dropsieve.session import shared_dir
+from dropsieve.session import configure, shared_dir
 from dropsieve.sources import readers, sinks
 
 DIGITS = 6
@@ -58,7 +58,7 @@ def tidy(df: DataFrame) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return tidy(fn(Views(spark, folder)))
+            return tidy(fn(Views(configure(spark), folder)))
 
         run.__name__ = fn.__name__
         return run
@@ -129,6 +129,17 @@ def stored_metric_csv(v):
     return doublets.doublet_summary(readers.read_metric_csv(v.spark, path))
 
 
+@query
+def mixed_metric_csv(v):
+    """Files of some samples have their columns in another order."""
+    path = _fresh(v, "mixed")
+    rows = v.doublet_metrics.drop("ord")
+    turned = F.pmod(F.crc32(F.col(SAMPLE).cast("binary")), F.lit(2)) == 0
+    sinks.write_metric_csv(rows.where(~turned), path)
+    sinks.write_metric_csv(rows.where(turned).select(*reversed(rows.columns)), path)
+    return doublets.doublet_summary(readers.read_metric_csv(v.spark, path))
+
+
 @query
 def stored_modalities(v):
     path = _fresh(v, "counts")
@@ -294,7 +305,7 @@ def top_features(v):
 
 @query
 def top_features_overall(v):
-    return overview.top_features_overall(v.counts)
+    return overview.top_features_overall(v.kept_counts)
 
 
 @query
@@ -537,7 +548,7 @@ def shared_neighbours(v):
 def clusters(v):
     near = neighbours.nearest_neighbours(v.vectors, EMBED.k)
     edges = neighbours.shared_neighbours(near, EMBED.k, EMBED.prune)
-    return cluster.clusters(edges, v.vectors, EMBED.resolution, EMBED.seed, levels=2, rounds=4)
+    return cluster.clusters(edges, v.vectors, EMBED.resolution, EMBED.seed)
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,14 @@ SETTINGS = {
 }
 
 
+# What Spark has where nothing is set; other values were chosen and are left alone.
+DEFAULTS = {
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    "spark.sql.sources.partitionOverwriteMode": "STATIC",
+    "spark.sql.execution.arrow.pyspark.enabled": "false",
+}
+
+
 def build_session(app: str = "dropsieve", master: str | None = None, **extra: str) -> SparkSession:
     b = SparkSession.builder.appName(app)
     if master:
@@ -30,17 +39,25 @@ def build_session(app: str = "dropsieve", master: str | None = None, **extra: st
     return b.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """The settings for a session that is given; what it has set itself stays."""
+    for k, v in SETTINGS.items():
+        if spark.conf.isModifiable(k) and spark.conf.get(k, None) in (None, DEFAULTS.get(k)):
+            spark.conf.set(k, v)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary one. On a cluster a
-    machine-local folder would be lost with its machine, so there it is an
-    error.
+    A session in one process, as in tests, gets a temporary one without the
+    setting. On a cluster, a local one included, such a folder would be lost
+    with its machine, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     made = tempfile.mkdtemp(prefix="dropsieve-")
     spark.conf.set("spark.checkpoint.dir", made)

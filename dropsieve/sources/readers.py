@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dropsieve import schemas
 from dropsieve.functions.scalars import SAMPLE, split_peak_name
+from dropsieve.functions.sizing import sized
 from dropsieve.operators.annotate import BARCODE_NAMES
 
 NUMBERS = ("nuclear_fraction", "doublet_score")
@@ -132,19 +134,46 @@ def read_matrix_dirs(
     return counts, features, barcodes
 
 
+def _by_header(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
+    """Rows of CSV files with a header line each, columns by name whatever their order.
+
+    Spark takes the header of one file for all. Here lines are read as text, a file's first line
+    tells its header, and files of the same header are parsed together; there are few headers, and
+    only they go to the driver. Columns that a file lacks are NULL. ``_place`` orders lines within
+    a file.
+    """
+    lines = spark.read.text(path)
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = lines.select("*", place.alias("_place"), F.col("_metadata.file_path").alias("_path"))
+    heads = lines.groupBy("_path").agg(F.min_by("value", "_place").alias("_head"))
+    heads = sized(heads)
+    kinds = sorted(r[0] for r in heads.select("_head").distinct().collect())
+    rows = lines.join(heads, "_path").where((F.col("value") != F.col("_head")) & (F.trim("value") != ""))
+    others = [c for c in lines.columns if c not in ("value", "_place", "_path")]
+    parts = []
+    for head in kinds:
+        names = next(csv.reader([head.lstrip("\ufeff")], delimiter=sep))
+        kind = ", ".join(f"`{n}` STRING" for n in names)
+        own = rows.where(F.col("_head") == head)
+        parsed = F.from_csv("value", kind, {"sep": sep, "nullValue": "NA", "mode": "PERMISSIVE"})
+        parts.append(own.select(*others, "_place", parsed.alias("_row")).select(*others, "_place", "_row.*"))
+    if not parts:
+        return lines.select(*others, "_place").limit(0)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def read_metric_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame | None:
     """Per-cell metric table, or None when it is missing or has no barcode column.
 
-    Files lie under ``sample_id=...`` folders, which give the sample. ``ord``
+    Files lie under ``sample_id=...`` folders, which give the sample. Every file
+    has a header of its own: order and choice of columns may differ. ``ord``
     orders rows within a file. Text that is no number reads as NULL.
     """
     try:
-        df = (
-            spark.read.option("header", True)
-            .option("nullValue", "NA")
-            .option("mode", "PERMISSIVE")
-            .csv(path)
-        )
+        df = _by_header(spark, path)
     except AnalysisException:
         return None
     names = [c for c in BARCODE_NAMES if c in df.columns]
@@ -153,10 +182,9 @@ def read_metric_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     cols = [
         F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) if c in NUMBERS else F.col(c)
         for c in df.columns
-        if c != SAMPLE
+        if c not in (SAMPLE, "_place")
     ]
-    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    return df.select(F.col(SAMPLE).cast("string"), *cols, place.alias("ord"))
+    return df.select(F.col(SAMPLE).cast("string"), *cols, F.col("_place").alias("ord"))
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame | None:

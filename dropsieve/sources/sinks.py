@@ -14,6 +14,9 @@ from dropsieve.operators.multimodal import GEX, PEAKS, require_both
 
 
 def _writer(df: DataFrame, *partitions: str):
+    # Rows of a partition come together first, else every task writes a file to each; one that is
+    # very large is split again.
+    df = df.hint("rebalance", *partitions)
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
 
 
@@ -38,7 +41,13 @@ def write_counts(counts: DataFrame, path: str) -> None:
     Sorted files give narrow barcode ranges per row group and let the per-cell
     sums combine before the shuffle.
     """
-    _writer(counts.sortWithinPartitions(SAMPLE, "barcode"), "modality", SAMPLE).parquet(path)
+    ordered = counts.hint("rebalance", "modality", SAMPLE).sortWithinPartitions(SAMPLE, "barcode")
+    (
+        ordered.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("modality", SAMPLE)
+        .parquet(path)
+    )
 
 
 def write_modalities(counts: DataFrame, path: str) -> None:

@@ -347,9 +347,12 @@ def test_modality_rules(spark):
         multimodal.require_both(df)
     multimodal.require_both(modal(spark, both))
     bad = modal(spark, [("y", "Antibody", "a", "t", 1), ("y", multimodal.PEAKS, "a", "p", 1)])
-    with pytest.raises(multimodal.MissingModality):
-        multimodal.select_modality(bad, "gex_strict")
-    assert multimodal.select_modality(bad, "gex_if_multi").count() == 0
+    for rule in ("gex_strict", "gex_if_multi"):
+        with pytest.raises(multimodal.MissingModality, match="sample y"):
+            multimodal.select_modality(bad, rule)
+    first = bad.withColumn("ord", F.when(F.col("modality") == multimodal.PEAKS, 0).otherwise(1))
+    chosen = multimodal.select_modality(first, "gex_or_first").select("feature_id")
+    assert rows(chosen) == [("p",)]
 
 
 def test_cross_modality_takes_the_first_of_both_sides(spark):
@@ -412,15 +415,35 @@ def two_groups(spark, size=8):
     return edges, nodes
 
 
-def test_clusters_find_separate_groups_and_modularity_never_falls(spark):
+def test_clusters_find_separate_groups(spark):
     edges, nodes = two_groups(spark)
-    got = {r.id: r.cluster for r in cluster.clusters(edges, nodes, 0.5, rounds=6).collect()}
+    got = {r.id: r.cluster for r in cluster.clusters(edges, nodes, 0.5).collect()}
     assert len({got[i] for i in range(8)}) == 1 and len({got[i] for i in range(8, 16)}) == 1
     assert got[0] != got[8] and got[16] == 2 and len(got) == 17
-    start = nodes.select("sample_id", F.col("id").alias("u"), F.col("id").alias("c"))
-    _, history = cluster.local_moves(cluster.adjacency(edges), start, 0.5, 7, 5)
-    q = [h["s"] for h in history]
-    assert all(b >= a for a, b in zip(q, q[1:]))
+
+
+def test_local_moves_end_where_no_single_move_gains(spark):
+    rng = np.random.default_rng(3)
+    pairs = {tuple(sorted(map(int, rng.choice(14, 2, replace=False)))) for _ in range(35)}
+    weight = {p: float(rng.integers(1, 5)) for p in pairs}
+    edges = spark.createDataFrame([("s", a, b, w) for (a, b), w in weight.items()],
+                                  "sample_id string, src1 bigint, src2 bigint, weight double")
+    adj = cluster.adjacency(edges)
+    start = adj.select("sample_id", "u", F.col("u").alias("c")).distinct()
+    ended = cluster.local_moves(adj, start, 1.0, 7, 1e-6)
+    label = {r.u: r.c for r in ended.collect()}
+    total = 2 * sum(weight.values())
+    degree = {u: sum(w for p, w in weight.items() if u in p) for u in label}
+
+    def q(of):
+        inside = sum(2 * w for (a, b), w in weight.items() if of[a] == of[b])
+        sums = {c: sum(k for u, k in degree.items() if of[u] == c) for c in set(of.values())}
+        return inside / total - sum(k * k for k in sums.values()) / total**2
+
+    best = q(label)
+    got = cluster.modularity(adj, ended, 1.0).first()["q"]
+    assert abs(got - best) < 1e-9
+    assert all(q(label | {u: c}) <= best + 1e-6 for u in label for c in set(label.values()))
 
 
 def test_scaling_is_the_dense_z_score(spark):

@@ -90,6 +90,21 @@ def test_metric_csv_is_optional(spark, tmp_path):
     ]
 
 
+def test_metric_csv_headers_differ(spark, tmp_path):
+    for sample, text in {
+        "a": "cell_barcode,doublet_score,doublet_class\nA-1,0.5,singlet\n",
+        "b": 'doublet_score,cell_barcode\n0.25,"B,2"\n\n',
+        "c": "doublet_class,note,cell_barcode\ndoublet,NA,C\n",
+    }.items():
+        write(tmp_path / f"sample_id={sample}" / "m.csv", text)
+    df = readers.read_metric_csv(spark, str(tmp_path))
+    assert rows(df.select("sample_id", "cell_barcode", "doublet_score", "doublet_class", "note")) == [
+        ("a", "A-1", 0.5, "singlet", None),
+        ("b", "B,2", 0.25, None, None),
+        ("c", "C", None, "doublet", None),
+    ]
+
+
 def test_metadata_needs_its_key(spark, tmp_path):
     good = write(tmp_path / "m.csv", "sampleid,age\na,30\n")
     assert dict(readers.read_metadata(spark, good).dtypes)["age"] == "int"
