@@ -175,22 +175,26 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     )
     often = tokens.groupBy("s").agg(F.count("*").alias("f"))
     place = F.row_number().over(Window.partitionBy("id").orderBy("f", "s"))
+    whole = 100 + percent
     front = (
         tokens.join(often, "s")
         .withColumn("place", place)
         .where(f"place <= n - ({percent} * n + 99) div 100 + 1 AND f > 1")
         .join(members.withColumnRenamed("rep", "id"), "id")
-        .select("s", "id", "n", "component")
+        .select("s", "id", "n", "component", "place")
     )
     mixed = front.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     front = stored(front.join(mixed.where("lo < hi").select("s"), "s", "left_semi"), "front")
-    other = front.toDF("s", "b", "nb", "cb")
-    near = f"100 * least(n, nb) >= {percent} * greatest(n, nb)"
+    # The smaller set of a pair has a shared shingle even further in front, and from the first that
+    # they share on there is room for as many as they need.
+    index = front.where(f"place <= n - (2 * {percent} * n + {whole - 1}) div {whole} + 1")
+    other = front.toDF("s", "b", "nb", "cb", "pb")
+    need = f"({percent} * (n + nb) + {whole - 1}) div {whole}"
     return (
-        front.join(other, "s")
-        .where("id < b AND component <> cb")
-        .where(near)
-        .select(F.col("id").alias("a"), "b")
+        index.join(other, "s")
+        .where("component <> cb AND (n < nb OR n = nb AND id < b)")
+        .where(f"100 * n >= {percent} * nb AND 1 + least(n - place, nb - pb) >= {need}")
+        .select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b"))
         .distinct()
     )
 
