@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from dropsieve.llm.cache import kept
 from dropsieve.session import shared_dir
 
-SLICE = 2 << 20
-BATCH_ROWS = 500
+SLICE = 1 << 20
+BATCH_ROWS = 250
 MAX_BROADCAST_ROWS = 1_000_000  # of an id or two: some 20 MB
 
 WHITE = np.zeros(256, bool)

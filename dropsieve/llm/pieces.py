@@ -123,7 +123,7 @@ class PieceIds:
     def __init__(
         self,
         encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
-        room: int = 400_000,
+        room: int = 150_000,
     ):
         self.encode, self.room = encode, room
         self._drop()
