@@ -91,6 +91,33 @@ def test_language_probabilities_sum_to_one(spark):
         assert np.allclose(p + rest, 1, atol=1e-5)
 
 
+def test_language_model_keeps_every_gram_in_arrays_and_in_tables(spark):
+    from collections import Counter
+
+    from tests.llm.conftest import made
+
+    rng = random.Random(5)
+    wide = [chr(0x4E00 + i) for i in range(2000)]
+    rows = [(i, "".join(rng.choice(wide) for _ in range(600)), "zh") for i in range(200)]
+    rows += [(1000 + i, " ".join(rng.choice(("ab", "abc", "cad")) for _ in range(40)), "xx") for i in range(200)]
+    docs = made(spark, rows)
+    model = langid.fit(docs)
+    real = Counter(x for _, t, lang in rows if lang == "zh" for s in [f"   {t}"] for x in (s[i:i + 4] for i in range(len(t))))
+    seen = np.array([sum(ord(c) << 16 * (3 - k) for k, c in enumerate(x)) for x in real], np.uint64)
+    hashes, share = model.grams[4]
+    at = np.searchsorted(hashes, langid.mix(seen))
+    assert (hashes[at] == langid.mix(seen)).all() and (share[at, model.languages.index("zh")] > 0).all()
+    large = langid.fit(docs, max_values=0)
+    assert large.tables and not large.grams
+    more = docs.limit(30).unionByName(made(spark, [(1, None, None), (None, "abc cad", None), (7, "\u6f22 x", None)] * 2))
+    pair = [sorted(map(tuple, langid.predict(more, m).collect()), key=str) for m in (model, large)]
+    assert len(pair[0]) == len(pair[1]) == 36
+    for a, b in zip(*pair):
+        assert a[:2] == b[:2] and a[4] == b[4] and np.allclose(a[2:4], b[2:4], atol=1e-6)
+    kept = [sorted(map(str, langid.accepted(more, m).collect())) for m in (model, large)]
+    assert kept[0] == kept[1] and langid.accepted(more, large).columns == more.columns
+
+
 def test_foreign_text_is_rejected(spark):
     from tests.llm.conftest import made
 
