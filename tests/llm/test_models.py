@@ -135,6 +135,24 @@ def test_foreign_text_is_rejected(spark):
     assert [r["doc_id"] for r in langid.accepted(made(spark, more), model).collect()] == [1]
 
 
+def test_foreign_text_is_rejected_in_spite_of_wrong_labels(spark):
+    from tests.llm.conftest import made
+
+    rng = random.Random(3)
+
+    def text(letters, n=30):
+        return " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(n))
+
+    rows = [(i, text(("abcde", "mnopq")[i % 2]), ("xx", "yy")[i % 2]) for i in range(800)]
+    rows += [(800 + i, text([chr(0x4E00 + rng.randrange(20000)) for _ in range(400)]), "xx") for i in range(12)]
+    model = langid.fit(made(spark, rows))
+    more = [(1, text("абвгд"), None), (2, text("αβγδε", 100), None), (3, text("abcde"), None), (4, text("mnopq", 60), None)]
+    by = {r["doc_id"]: r for r in langid.predict(made(spark, more), model).collect()}
+    assert by[1]["rejected"] and by[2]["rejected"]
+    assert not by[3]["rejected"] and not by[4]["rejected"]
+    assert (by[3]["lang_pred"], by[4]["lang_pred"]) == ("xx", "yy")
+
+
 def brute_top(rows, k):
     ok = {}
     for i, v in rows:
