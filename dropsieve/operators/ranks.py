@@ -9,9 +9,9 @@ from dropsieve.functions.scalars import SAMPLE
 
 
 def distributed_rank(
-    df: DataFrame, value: str, ord_col: str = "ord", out: str = "rank", run: int = 65_536
+    df: DataFrame, value: str, ord_col: str = "ord", out: str = "rank", run: int = 65_536, then: tuple = ()
 ) -> DataFrame:
-    """Positions 1..N per sample by ``value`` descending, ties by ``ord_col``.
+    """Positions 1..N per sample by ``value`` descending, ties by ``ord_col`` and ``then``.
 
     One window per sample would sort a whole sample in one task. Instead rows
     are numbered inside runs of equal value and at most ``run`` consecutive
@@ -35,7 +35,7 @@ def distributed_rank(
     shift = earlier.join(higher, [SAMPLE, value]).select(
         SAMPLE, value, "_run", (F.col("_higher") + F.col("_earlier")).alias("_shift")
     )
-    w_in = Window.partitionBy(SAMPLE, value, "_run").orderBy(ord_col)
+    w_in = Window.partitionBy(SAMPLE, value, "_run").orderBy(ord_col, *then)
     return (
         rows.join(shift, [SAMPLE, value, "_run"])
         .withColumn(out, F.col("_shift") + F.row_number().over(w_in))

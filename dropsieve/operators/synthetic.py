@@ -9,6 +9,7 @@ from dropsieve.functions.scalars import CELL, SAMPLE
 from dropsieve.functions.sizing import sized
 from dropsieve.operators.embed import pca
 from dropsieve.operators.neighbours import nearest_neighbours
+from dropsieve.operators.ranks import distributed_rank
 from dropsieve.params import EmbedParams
 from dropsieve.session import checkpoint
 
@@ -55,8 +56,10 @@ def doublet_scores(
 ) -> DataFrame:
     """Share of synthetic doublets among each cell's neighbours, and its class.
 
-    The highest scores make up at most the expected share of doublets, by
-    default one percent per thousand cells of the sample.
+    As many cells as expected are doublets, by default one percent per thousand
+    cells of the sample: those of highest score, ties by the mean distance to
+    their synthetic neighbours and then by a hash. A cell without any synthetic
+    neighbour is never one.
     """
     triplets = counts.select(*CELL, "feature_id", "n")
     pairs = pair_cells(triplets.select(*CELL).distinct(), p.seed)
@@ -65,24 +68,30 @@ def doublet_scores(
     embedded = checkpoint(pca(both, cells, p))
     near = nearest_neighbours(embedded, p.k, id_col="barcode", vec_col="pca")
     real = ~F.col("src").startswith(PREFIX)
+    synthetic = F.col("dst").startswith(PREFIX)
     scored = checkpoint(
         near.where(real)
         .groupBy(SAMPLE, F.col("src").alias("barcode"))
-        .agg(F.avg(F.col("dst").startswith(PREFIX).cast("double")).alias("doublet_score"))
+        .agg(
+            F.avg(synthetic.cast("double")).alias("doublet_score"),
+            F.avg(F.when(synthetic, F.col("dist"))).alias("_dist"),
+        )
+        .withColumn("_hash", F.xxhash64("barcode", F.lit(p.seed)))
     )
-    # A score has at most k + 1 values, so its histogram is small.
-    hist = scored.groupBy(SAMPLE, "doublet_score").agg(F.count("*").alias("_c"))
-    down = Window.partitionBy(SAMPLE).orderBy(F.desc("doublet_score"))
-    n = F.sum("_c").over(Window.partitionBy(SAMPLE))
-    rate = F.lit(expected_rate) if expected_rate is not None else F.lit(0.01) * n / 1000.0
-    cut = hist.select(
-        SAMPLE,
-        "doublet_score",
-        ((F.sum("_c").over(down) <= F.ceil(rate * n)) & (F.col("doublet_score") > 0)).alias("_top"),
+    n = F.count("*").alias("_cells")
+    sample = scored.groupBy(SAMPLE).agg(n, F.max("_dist").alias("_far"))
+    # The distance in 2 ** 30 steps of a sample's largest one: a run has 2 ** 18 of them.
+    step = F.floor(F.coalesce(F.try_divide(F.col("_dist"), F.col("_far")), F.lit(0.0)) * (1 << 30))
+    placed = scored.join(sized(sample), SAMPLE).withColumn("ord", step)
+    ranked = distributed_rank(
+        placed, "doublet_score", run=1 << 18, then=("_dist", "_hash", "barcode")
     )
-    return scored.join(sized(cut), [SAMPLE, "doublet_score"]).select(
+    n = F.col("_cells")
+    rate = F.lit(expected_rate) if expected_rate is not None else F.lit(0.01) * n / 1000.0
+    top = (F.col("rank") <= F.ceil(rate * n)) & (F.col("doublet_score") > 0)
+    return ranked.select(
         SAMPLE,
         F.col("barcode").alias("cell_barcode"),
         "doublet_score",
-        F.when(F.col("_top"), "doublet").otherwise("singlet").alias("doublet_class"),
+        F.when(top, "doublet").otherwise("singlet").alias("doublet_class"),
     )

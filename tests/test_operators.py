@@ -492,6 +492,20 @@ def test_synthetic_doublets_score_higher(spark):
     assert again == {b: r.doublet_score for b, r in got.items()}
 
 
+def test_as_many_doublets_as_expected_although_scores_tie(spark):
+    rnd = random.Random(4)
+    data = [("st"[c % 2], f"c{c}", f, rnd.randint(1, 9)) for c in range(160) for f in range(30) if rnd.random() < 0.7]
+    counts = spark.createDataFrame(data, "sample_id string, barcode string, feature_id int, n bigint")
+    p = EmbedParams(n_variable=30, n_components=5, k=4)
+    got = synthetic.doublet_scores(counts, p, 0.03).collect()
+    assert len(got) == 160
+    for s in "st":
+        own = [r for r in got if r.sample_id == s]
+        called = [r.doublet_score for r in own if r.doublet_class == "doublet"]
+        rest = [r.doublet_score for r in own if r.doublet_class != "doublet"]
+        assert len(called) == math.ceil(0.03 * 80) and min(called) >= max(rest)
+
+
 def test_pairs_are_of_one_sample_and_never_a_cell_with_itself(spark):
     c = spark.range(1000).select(F.concat(F.lit("s"), F.col("id") % 2).alias("sample_id"), F.col("id").cast("string").alias("barcode"))
     got = synthetic.pair_cells(c, 1, bucket_rows=16).collect()
