@@ -27,7 +27,7 @@ from dropsieve.operators import (
     synthetic,
 )
 from dropsieve.plans import runs
-from dropsieve.plans.views import ATAC, EMBED, QC, Views
+from dropsieve.plans.views import ATAC, EMBED, QC, TWIN_K, Views
 from dropsieve.session import configure, shared_dir
 from dropsieve.sources import readers, sinks
 
@@ -535,13 +535,13 @@ def cell_coordinates(v):
 
 @query
 def knn(v):
-    return neighbours.nearest_neighbours(v.vectors, EMBED.k)
+    return neighbours.nearest_neighbours(v.vectors, TWIN_K)
 
 
 @query
 def shared_neighbours(v):
-    near = neighbours.nearest_neighbours(v.vectors, EMBED.k)
-    return neighbours.shared_neighbours(near, EMBED.k, EMBED.prune)
+    near = neighbours.nearest_neighbours(v.vectors, TWIN_K)
+    return neighbours.shared_neighbours(near, TWIN_K, EMBED.prune)
 
 
 @query

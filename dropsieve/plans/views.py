@@ -31,7 +31,9 @@ QC = QCParams(
 ATAC = AtacParams(
     min_count=10, max_count=20, min_features=12, min_tss=1, max_nucleosome=0.6, max_blacklist=0.05
 )
-EMBED = EmbedParams(n_variable=200, n_components=10, k=10)
+EMBED = EmbedParams()
+# The SQL twins of knn and shared_neighbours are written for lists of ten.
+TWIN_K = 10
 GENOME_END = 2_600_000
 
 

@@ -462,6 +462,12 @@ def test_components_equal_the_dense_ones(spark):
     assert np.allclose(np.abs(have), np.abs(want), atol=1e-7)
 
 
+def test_registered_queries_use_the_defaults():
+    from dropsieve.plans.views import EMBED
+
+    assert (EMBED.n_variable, EMBED.n_components, EMBED.k) == (2000, 50, 20)
+
+
 def test_variance_standardised_by_the_trend(spark):
     x = np.linspace(0, 3, 60)
     assert np.allclose(normalise.local_trend(x, 2 * x * x - x, 0.4, knots=60), 2 * x * x - x, atol=1e-8)
