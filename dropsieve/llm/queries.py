@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropsieve.llm import bpe, langid, minhash, packing, quality, rules, substring, suffix, topk, toxicity
+from dropsieve.llm import bpe, langid, minhash, packing, pii, quality, rules, substring, suffix, topk, toxicity
 from dropsieve.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -76,6 +76,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.report(table(spark, sf_dir, "documents"), length=400)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_near_dedup,
         op10_suffix_dedup,
+        op11_pii,
     )
 }
 
@@ -144,7 +149,63 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS
 FROM k
 """
 
+# Places follow from the lengths of the matches and of the pieces between them.
+_OP11 = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+           FROM documents),
+p AS (SELECT * FROM (VALUES
+  (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
+  (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+  (3, 'card', '[0-9]([\x20-]?[0-9])+'),
+  (4, 'phone', '\+[0-9][\x20().0-9-]+[0-9]'),
+  (5, 'address', '{address}'),
+  (6, 'account', '{account}'),
+  (7, 'iban', '{iban}')) AS v(k, kind, re)),
+m AS (SELECT r, k, kind, regexp_extract_all(CASE WHEN k < 5 THEN t ELSE low END, re) AS ms,
+             string_split_regex(CASE WHEN k < 5 THEN t ELSE low END, re) AS ps FROM d, p),
+u AS (SELECT r, k, kind, ms[i] AS m,
+             list_sum(list_transform(ps[1:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS pos
+      FROM m, LATERAL (SELECT unnest(range(1, len(ms) + 1)) AS i)),
+w AS (SELECT r, k, kind, pos + length(m) AS stop,
+             CASE k WHEN 6 THEN regexp_extract(m, '[a-z0-9]+(-[a-z0-9]+)*$')
+                    WHEN 7 THEN regexp_extract(m, 'iban[\x20]*[=:#]?[\x20]*(.*)$', 1) ELSE m END AS s FROM u),
+x AS (SELECT *, regexp_replace(s, '[^0-9]', '', 'g') AS ds, replace(s, ' ', '') AS z FROM w),
+y AS (SELECT r, k, kind, stop - length(s) AS start, stop FROM x WHERE CASE k
+  WHEN 2 THEN len(list_filter(string_split(s, '.'), lambda o: length(ltrim(o, '0')) > 3
+                                OR coalesce(TRY_CAST(o AS BIGINT), 999) > 255)) = 0
+  WHEN 3 THEN length(ds) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length(ds) + 1), lambda i:
+    CASE WHEN i % 2 = 1 THEN CAST(ds[-i] AS INTEGER)
+         ELSE 2 * CAST(ds[-i] AS INTEGER) - CASE WHEN ds[-i] > '4' THEN 9 ELSE 0 END END)) % 10 = 0
+  WHEN 4 THEN length(ds) BETWEEN 10 AND 15
+  WHEN 5 THEN NOT starts_with(s, 'tel:') OR length(ds) BETWEEN 7 AND 15
+  WHEN 6 THEN length(replace(s, '-', '')) >= 8 AND length(ds) > 0
+  WHEN 7 THEN length(z) BETWEEN 15 AND 34 AND list_reduce(list_transform(string_split(z[5:] || z[1:4], ''),
+    lambda c: CASE WHEN c >= 'a' THEN ascii(c) - 87 ELSE ascii(c) - 48 END),
+    lambda a, b: (a * CASE WHEN b > 9 THEN 100 ELSE 10 END + b) % 97, 0) = 1
+  ELSE true END),
+s AS (SELECT r, count(*) FILTER (k = 1) AS n_email, count(*) FILTER (k = 2) AS n_ip,
+             count(*) FILTER (k = 3) AS n_card, count(*) FILTER (k = 4) AS n_phone,
+             string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, k) FILTER (k < 5) AS base,
+             string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, k) AS spans
+      FROM y GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN s USING (r)
+"""
+
+
+def _quoted(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_pii": _OP11.format(
+        address=_quoted("|".join(f"{s}{p}" for s, p in pii.SCHEMES.items())),
+        account=_quoted(f"(^|[^a-z0-9_-])({'|'.join(pii.CUES)}){pii.ACCOUNT}"),
+        iban=_quoted(f"(^|[^a-z0-9_-])iban{pii.IBAN}"),
+    ),
     "op2_substring_dedup": _OP2,
     "op7_top_k": _OP7,
     "op6_rules": _OP6.format(
