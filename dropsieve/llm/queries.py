@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropsieve.llm import bpe, langid, minhash, packing, pii, quality, rules, substring, suffix, topk, toxicity
+from dropsieve.llm import bpe, conversation, langid, minhash, packing, pii, quality, rules, substring, suffix, topk, toxicity
 from dropsieve.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -80,6 +80,11 @@ def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation.damaged(table(spark, sf_dir, "conversations"))
+    return conversation.repair(turns, copies="copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_near_dedup,
         op10_suffix_dedup,
         op11_pii,
+        op12_conversations,
     )
 }
 
@@ -195,6 +201,73 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM d LEFT JOIN s USING (r)
 """
 
+# Backward and forward passes as recursive queries; b0 to b3 are the costs from the four states.
+_OP12 = r"""
+WITH RECURSIVE
+t AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             list_transform(string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':',
+                            coalesce(CAST(turn AS VARCHAR), ' ')), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS place
+      FROM conversations),
+k AS (SELECT *, xor(list_reduce(place, lambda a, b: list_reduce(range(8), lambda v, n:
+        CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(a, b)),
+        CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS k FROM t),
+m AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+             CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM k, range(2) AS c(c) WHERE k <> 0 AND (c = 0 OR k = 3)),
+o AS (SELECT *, coalesce(conv_id, -9223372036854775807) AS conv,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                md5(concat(length(role), ':', role, text))) AS i FROM m),
+f AS (SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+             row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again,
+             regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') AS cut,
+             left(role, 1) AS r, lead(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) AS r2 FROM o),
+g AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+             count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated,
+             count(*) FILTER (r2 IS NOT NULL AND r || r2 NOT IN ('su', 'ua', 'au')) AS illegal,
+             count(*) AS n FROM f GROUP BY conv),
+e AS (SELECT conv, i, role, text, r, CASE WHEN blank OR again THEN 1000000000 ELSE 0 END AS stay,
+             CASE WHEN cut THEN 1 ELSE 0 END AS c FROM f),
+b(conv, i, b0, b1, b2, b3) AS (
+  SELECT conv, n + 1, 0, 4, 2, 0 FROM g
+  UNION ALL
+  SELECT conv, i, least(a0, 2 + a2, 4 + a3), least(a1, 2 + a2, 4 + a3), least(a2, 2 + a3), least(a3, 2 + a2)
+  FROM (SELECT conv, e.i,
+          least(3 + b0, stay + c + CASE r WHEN 's' THEN least(b1, 2 + b2) WHEN 'u' THEN b2 ELSE 2 + b2 END) AS a0,
+          least(3 + b1, stay + c + CASE WHEN r = 'u' THEN 0 ELSE 2 END + b2) AS a1,
+          least(3 + b2, stay + c + CASE WHEN r = 'a' THEN 0 ELSE 2 END + b3) AS a2,
+          least(3 + b3, stay + c + CASE WHEN r = 'u' THEN 0 ELSE 2 END + b2) AS a3
+        FROM b JOIN e USING (conv) WHERE e.i = b.i - 1)),
+v AS (SELECT b.conv, b.i, [b.b0, b.b1, b.b2, b.b3] AS here, [n.b0, n.b1, n.b2, n.b3] AS after, e.role, e.text, e.r,
+             e.c, e.stay = 0 AS may
+      FROM b LEFT JOIN b AS n ON n.conv = b.conv AND n.i = b.i + 1
+      LEFT JOIN e ON e.conv = b.conv AND e.i = b.i),
+w(conv, i, s, audit, lines, stop) AS (
+  SELECT conv, 1, 1, '', CAST([] AS VARCHAR[]), false FROM g
+  UNION ALL
+  SELECT conv, CASE WHEN edit IN ('I', 'E') THEN i ELSE i + 1 END,
+         CASE WHEN edit IN ('D', 'E') THEN s WHEN edit = 'K' AND s = 1 AND r = 's' THEN 2 ELSE nx END,
+         audit || CASE WHEN edit = 'E' THEN '' ELSE edit END,
+         CASE edit WHEN 'K' THEN list_append(lines, role || ':' || text)
+                   WHEN 'R' THEN list_append(lines, new || ':' || text)
+                   WHEN 'I' THEN list_append(lines, new || ':') ELSE lines END,
+         edit = 'E'
+  FROM (SELECT w.*, v.role, v.text, v.r, CASE WHEN s = 3 THEN 4 ELSE 3 END AS nx,
+               CASE WHEN s = 3 THEN 'assistant' ELSE 'user' END AS new,
+               CASE WHEN after[1] IS NOT NULL AND 3 + after[s] = here[s] THEN 'D'
+                    WHEN 2 + here[CASE WHEN s = 3 THEN 4 ELSE 3 END] = here[s] THEN 'I'
+                    WHEN after[1] IS NULL THEN 'E'
+                    WHEN may AND (CASE WHEN s = 3 THEN r = 'a' ELSE r = 'u' END OR s = 1 AND r = 's')
+                         AND c + after[CASE WHEN s = 1 AND r = 's' THEN 2 WHEN s = 3 THEN 4 ELSE 3 END] = here[s] THEN 'K'
+                    ELSE 'R' END AS edit
+        FROM w JOIN v USING (conv, i) WHERE NOT stop))
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b0, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id, -9223372036854775807) AS conv FROM conversations) AS a
+LEFT JOIN g USING (conv) LEFT JOIN b ON b.conv = a.conv AND b.i = 1 LEFT JOIN w ON w.conv = a.conv AND stop
+"""
+
 
 def _quoted(pattern: str) -> str:
     return pattern.replace("'", "''")
@@ -206,6 +279,7 @@ ORACLE_SQL: dict[str, str] = {
         account=_quoted(f"(^|[^a-z0-9_-])({'|'.join(pii.CUES)}){pii.ACCOUNT}"),
         iban=_quoted(f"(^|[^a-z0-9_-])iban{pii.IBAN}"),
     ),
+    "op12_conversations": _OP12,
     "op2_substring_dedup": _OP2,
     "op7_top_k": _OP7,
     "op6_rules": _OP6.format(
