@@ -114,17 +114,19 @@ def parts(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
 
 def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text number of every word, in order."""
-    if not len(buf):
+    return runs(~WHITE[buf], off)
+
+
+def runs(ink: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of every run of set places, in order."""
+    if not len(ink):
         none = np.zeros(0, np.int64)
         return none, none, none
-    ink = ~WHITE[buf]
-    first = np.empty(len(buf) + 1, bool)
+    first = np.empty(len(ink) + 1, bool)
     first[0] = True
-    first[1:] = ~ink if len(buf) else True
+    first[1:] = ~ink
     first[off] = True
-    last = first[1:].copy()
-    last[-1] = True
-    after = np.empty(len(buf), bool)
+    after = np.empty(len(ink), bool)
     after[:-1] = ~ink[1:]
     after[-1] = True
     inner = off[1:][off[1:] > 0] - 1

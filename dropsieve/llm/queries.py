@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropsieve.llm import bpe, conversation, langid, minhash, packing, pii, quality, rules, substring, suffix, topk, toxicity
+from dropsieve.llm import bpe, conversation, divergence, langid, minhash, packing, pii, quality, rules, substring, suffix, topk, toxicity
 from dropsieve.llm.common import fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -85,6 +85,10 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.repair(turns, copies="copies")
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_suffix_dedup,
         op11_pii,
         op12_conversations,
+        op13_divergence,
     )
 }
 
@@ -217,9 +222,9 @@ m AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
 o AS (SELECT *, coalesce(conv_id, -9223372036854775807) AS conv,
              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
                                 md5(concat(length(role), ':', role, text))) AS i FROM m),
-f AS (SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank,
+f AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
              row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again,
-             regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') AS cut,
+             regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') AS cut,
              left(role, 1) AS r, lead(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) AS r2 FROM o),
 g AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
              count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
@@ -268,6 +273,35 @@ FROM (SELECT DISTINCT conv_id, coalesce(conv_id, -9223372036854775807) AS conv F
 LEFT JOIN g USING (conv) LEFT JOIN b ON b.conv = a.conv AND b.i = 1 LEFT JOIN w ON w.conv = a.conv AND stop
 """
 
+_OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(
+        translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM w GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+m AS (SELECT lang, source, term, coalesce(c.n, 0) AS n,
+             sum(coalesce(c.n, 0)) OVER (PARTITION BY lang, source) AS total, k.n AS lang_n
+      FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, m.n,
+             CAST(1 + (1000000000 * (CAST(m.n AS HUGEINT) + 2)) // (total + 2 * v) AS HUGEINT) AS p,
+             CAST(1 + (1000000000 * (CAST(lang_n AS HUGEINT) + 2)) // (v.n + 2 * v) AS HUGEINT) AS q
+      FROM m JOIN v USING (lang)),
+a AS (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+      FROM p AS x JOIN p AS y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+      FROM g AS x JOIN g AS y ON x.lang = y.lang AND x.source <> y.source
+      LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value
+      FROM p WHERE n > 0 AND p > q),
+u AS (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM u QUALIFY part = 'pair' OR rank <= 10
+"""
+
 
 def _quoted(pattern: str) -> str:
     return pattern.replace("'", "''")
@@ -280,6 +314,7 @@ ORACLE_SQL: dict[str, str] = {
         iban=_quoted(f"(^|[^a-z0-9_-])iban{pii.IBAN}"),
     ),
     "op12_conversations": _OP12,
+    "op13_divergence": _OP13,
     "op2_substring_dedup": _OP2,
     "op7_top_k": _OP7,
     "op6_rules": _OP6.format(
