@@ -37,7 +37,7 @@ from dropsieve.llm.common import (
 )
 
 SCALE = 1_000_000_000
-FLUSH = 8 << 20  # bytes of text counted together in a task
+FLUSH = 3 << 20  # bytes of text counted together in a task
 HELD_ROWS = 200_000  # rows of frequent chunks a task adds up before it sends them on
 FREQUENT = 8  # occurrences in one flush
 FILTER_BITS = 27
@@ -221,7 +221,7 @@ def term_counts(chunks: DataFrame) -> DataFrame:
 
     placed = chunks.repartition("chunk").sortWithinPartitions("chunk", "lang", "source")
     schema = "lang string, source string, term string, n long, docs long"
-    return arrow_map(placed, run, schema, batch_rows=50_000)
+    return arrow_map(placed, run, schema, batch_rows=20_000)
 
 
 def _marks(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lang: np.ndarray) -> np.ndarray:
@@ -378,7 +378,7 @@ def _shared(rows: DataFrame) -> DataFrame:
         if key is not None:
             yield sent(key, sums)
 
-    found = arrow_map(tiled, run, "lang string, a long, b long, both long", batch_rows=50_000)
+    found = arrow_map(tiled, run, "lang string, a long, b long, both long", batch_rows=20_000)
     return found.groupBy("lang", "a", "b").agg(F.sum("both").alias("both"))
 
 
