@@ -24,6 +24,7 @@ from dropsieve.session import shared_dir
 
 SLICE = 1 << 20
 BATCH_ROWS = 250
+BATCH_BYTES = 1 << 20
 MAX_BROADCAST_ROWS = 1_000_000  # of an id or two: some 20 MB
 
 WHITE = np.zeros(256, bool)
@@ -167,12 +168,14 @@ def hex_column(values: list[str]) -> pa.Array:
 def arrow_map(
     df: DataFrame, fn: Callable, schema: str, batch_rows: int = BATCH_ROWS
 ) -> DataFrame:
-    """``mapInArrow`` on batches of bounded row count.
+    """``mapInArrow`` on batches of bounded row count and size.
 
-    The bound is a session setting that holds when the job runs; a call with one of its own is to
-    be stored at once.
+    The bounds are session settings that hold when the job runs; a call with one of its own is to
+    be stored at once, or to be the last before the job.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

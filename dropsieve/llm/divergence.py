@@ -144,7 +144,7 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
         yield from _summed(held).to_batches()
 
     schema = "chunk string, lang string, source string, n long, docs long"
-    return arrow_map(_groups(docs, "text"), run, schema)
+    return arrow_map(_groups(docs, "text"), run, schema, batch_rows=20_000)
 
 
 def _new(*columns: pa.Array) -> np.ndarray:
