@@ -13,6 +13,7 @@ interval of ranks for an interval of sequences. The state of the sweep is a tabl
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropsieve.llm.cache import kept
-from dropsieve.llm.common import arrow_map, drop, parts, stored
+from dropsieve.llm.common import arrow_map, drop, gather, parts, stored
 from dropsieve.llm.pieces import PieceIds
 
 _PARTITION = 33  # bits of monotonically_increasing_id() that count rows
@@ -88,6 +89,37 @@ def piece_encoder(path: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.nda
     return fast
 
 
+def added_tokens(path: str) -> dict[bytes, int]:
+    """The strings a tokenizer file takes as whole tokens wherever they stand in a text."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"].encode(): t["id"] for t in json.load(f).get("added_tokens", [])}
+
+
+def text_ids(
+    known: PieceIds, added: dict[bytes, int], buf: np.ndarray, off: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a slice and their ``n + 1`` offsets, added tokens taken out first."""
+    find = re.compile(b"|".join(map(re.escape, sorted(added, key=len, reverse=True))))
+    raw = buf.tobytes()
+    if not added or not find.search(raw):
+        return known.slice_ids(buf, off)
+    hits = [
+        (m.start(), m.end(), added[m.group()])
+        for a, b in zip(off[:-1].tolist(), off[1:].tolist())
+        for m in find.finditer(raw, a, b)
+    ]
+    if not hits:
+        return known.slice_ids(buf, off)
+    start, end, token = (np.array(x, np.int64) for x in zip(*hits))
+    edges = np.unique(np.concatenate([off, start, end]))
+    ids, at = known.slice_ids(buf, edges)
+    size, own = np.diff(at), np.searchsorted(edges, start)
+    ids, size[own] = ids.copy(), 1
+    ids[at[own]] = token
+    up_to = np.concatenate([[0], np.cumsum(size)])
+    return gather(ids, at[:-1], size), up_to[np.searchsorted(edges, off)]
+
+
 def _is_text(token: bytes) -> bool:
     try:
         token.decode("utf-8")
@@ -101,7 +133,8 @@ def token_pieces(
 ) -> DataFrame:
     """The pieces of every row: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
 
-    A document is the ids of its whole text and ``end_id``, so a null or empty text is one token.
+    A document is the ids of its whole text and ``end_id``, so a null or empty text is one token. As
+    with the library, a text that holds the string of an added token is cut there and gets its id.
     Only documents longer than ``capacity`` are cut; their first piece is the short one. Repeated
     rows are pieces of their own. No shuffle; other columns are not read.
     """
@@ -110,10 +143,10 @@ def token_pieces(
         key = "packing", path
         if key not in kept():
             kept()[key] = PieceIds(piece_encoder(path))
-        known = kept()[key]
+        known, added = kept()[key], added_tokens(path)
         for b in batches:
             for i, j, buf, off in parts(b.column("text")):
-                ids, at = known.slice_ids(buf, off)
+                ids, at = text_ids(known, added, buf, off)
                 row, piece, start, length, crc, own = [], [], [], [], [], []
                 for k in range(j - i):
                     x = np.append(ids[at[k] : at[k + 1]], np.uint32(end_id)).astype("<u4")
