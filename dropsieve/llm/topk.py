@@ -16,16 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dropsieve.llm.common import arrow_map, stored
+from dropsieve.llm.common import arrow_map, drop, stored
 
 DATA_BLOCK, QUERY_BLOCK = 4096, 1024
 SEGMENTS = (1, 4, 16)
 EXACT = 2.0**53
+LARGEST = 2.0**63
 
 
 def scaled(docs: DataFrame, vec_id: str, vector: str, factor: int) -> DataFrame:
     """vec_id and the integers floor(factor * x), without rows that are null, empty, or hold a null
-    or a non-finite component or one beyond 2 ** 53 when scaled."""
+    or a non-finite component. A component that takes more than 64 bits when scaled is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -34,9 +35,12 @@ def scaled(docs: DataFrame, vec_id: str, vector: str, factor: int) -> DataFrame:
                 if i is None or not v or None in v:
                     continue
                 x = np.floor(factor * np.array(v, np.float64))
-                if np.isfinite(x).all() and np.abs(x).max() < EXACT:
-                    ids.append(i)
-                    rows.append(x.astype("<i8").tobytes())
+                if not np.isfinite(v).all():
+                    continue
+                if not np.abs(x).max() < LARGEST:
+                    raise OverflowError(f"a component of vector {i} takes more than 64 bits")
+                ids.append(i)
+                rows.append(x.astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(rows, pa.binary())], ["vec_id", "v"]
             )
@@ -97,14 +101,16 @@ def block_top(
     n, m = len(q), len(d)
     order = np.argsort(d_ids, kind="stable")
     d_ids, d = d_ids[order], d[order]
-    big = max(np.abs(q).max(initial=0), 1.0) * max(np.abs(d).max(initial=0), 1.0) * q.shape[1]
+    qf, df = q.astype(np.float64), d.astype(np.float64)
+    big = max(np.abs(qf).max(initial=0), 1.0) * max(np.abs(df).max(initial=0), 1.0) * q.shape[1]
     if big >= EXACT:  # products that a double cannot hold
         q, d = q.astype(object), d.astype(object)
+    else:
+        q, d = qf, df
 
     def exact(i: np.ndarray, j: np.ndarray) -> np.ndarray:
         return (q[i] * d[j]).sum(axis=1)
 
-    qf, df = q.astype(np.float64), d.astype(np.float64)
     slack = 1e-9 * big + 1e-6
     own = q_ids[:, None] == d_ids[None, :]
     bound = summary(qf, SEGMENTS[0]) @ summary(df, SEGMENTS[0]).T
@@ -184,7 +190,7 @@ def top_k(
                 w = b.column("width")[r].as_py()
                 q_ids, d_ids = (np.frombuffer(b.column(c)[r].as_py(), "<i8") for c in ("q_ids", "ids"))
                 q, d = (
-                    np.frombuffer(b.column(c)[r].as_py(), "<i8").astype(np.float64).reshape(-1, w)
+                    np.frombuffer(b.column(c)[r].as_py(), "<i8").reshape(-1, w)
                     for c in ("q", "vectors")
                 )
                 a, c, v = block_top(q_ids, q, d_ids, d, k)
@@ -194,8 +200,9 @@ def top_k(
                 )
 
     pairs = pairs.select("width", "q_ids", "q", "ids", "vectors")
-    found = arrow_map(pairs, run, "query_id long, vec_id long, score long", batch_rows=2)
+    found = arrow_map(pairs, run, "query_id long, vec_id long, score long")
     found = stored(found, "block-best")
+    drop(data, asked)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
