@@ -51,7 +51,8 @@ def spans(docs: DataFrame, length: int = 400) -> DataFrame:
 
 
 def report(docs: DataFrame, length: int = 400) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), digest of what is left."""
+    """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), digest of what is left,
+    n_kept (its bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -73,10 +74,10 @@ def report(docs: DataFrame, length: int = 400) -> DataFrame:
                     sha.append(hashlib.sha256(own.tobytes()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, removed, runs)),
-                 pa.array(sha, pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                 pa.array(sha, pa.string()), pa.array(np.subtract(n, removed), pa.int64())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept"],
             )
 
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long"
     return cut(texts, spans(docs, length), run, schema)
