@@ -31,8 +31,11 @@ WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True  # fixed values: the word separators \x20 \x09-\x0D
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = U(0xD6E8FEB86659FD93)
+# Hashes of spans are polynomials modulo this prime. Modulo a power of two, texts such as a
+# Thue-Morse word and its complement would have equal hashes whatever the base.
+PRIME = (1 << 61) - 1
+_BASE = 0x1E3779B97F4A7C15 % PRIME
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -46,30 +49,47 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & U(PRIME)) + (x >> U(61))
+    return np.where(x >= U(PRIME), x - U(PRIME), x)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a * b`` modulo ``PRIME`` of numbers of 61 bits."""
+    low, half = U((1 << 31) - 1), U((1 << 30) - 1)
+    ah, al, bh, bl = a >> U(31), a & low, b >> U(31), b & low
+    middle = al * bh + ah * bl
+    return _reduced(((ah * bh) << U(1)) + (middle >> U(30)) + ((middle & half) << U(31)) + al * bl)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``base ** i`` and ``base ** -i`` modulo 2**64 for ``i < n``."""
+    """``base ** i`` and ``base ** -i`` modulo ``PRIME`` for ``i < n``."""
     have = kept().get("powers")
     if have is None or len(have[0]) < n:
         size = max(n, SLICE + 2)
         out = []
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
+        for b in (_BASE, pow(_BASE, -1, PRIME)):
+            p = np.ones(1, np.uint64)
+            while len(p) < size:
+                p = np.concatenate([p, product(p, np.full(len(p), pow(b, len(p), PRIME), np.uint64))])
+            out.append(p[:size].copy())
         have = kept()["powers"] = out
     return have[0][:n], have[1][:n]
 
 
 def prefix(values: np.ndarray) -> np.ndarray:
-    """Sums from which ``span_hash`` takes the hash of any span of ``values``."""
+    """Sums from which ``span_hash`` takes the hash of any span of ``values``, of which 61 bits count."""
+    terms = product(values >> U(3), powers(len(values))[0])
+    low, high = np.cumsum(terms & U(0xFFFFFFFF)), np.cumsum(terms >> U(32))
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(len(values))[0], out=out[1:])
+    turned = ((high & U((1 << 29) - 1)) << U(32)) + (high >> U(29))
+    out[1:] = _reduced(_reduced(turned) + _reduced(low))
     return out
 
 
 def span_hash(p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the spans ``[start, end)``: equal contents have equal hashes."""
-    h = (p[end] - p[start]) * powers(len(p))[1][start]
+    h = product(_reduced(p[end] + U(PRIME) - p[start]), powers(len(p))[1][start])
     return mix(h + (end - start).astype(np.uint64) * _STEP)
 
 

@@ -177,3 +177,19 @@ def test_top_k(spark, size):
     got = topk.top_k(df, "vec_id % 5 = 0", k=5)
     assert sorted(map(tuple, got.collect())) == brute_top(rows, 5)
     assert topk.top_k(df.limit(0), "vec_id % 5 = 0").count() == 0
+
+
+def test_top_k_of_products_beyond_a_double(spark):
+    rng = np.random.default_rng(8)
+    v = {i: [float(x) for x in rng.integers(-(2**30), 2**30, 3)] for i in range(12)}
+    v[11] = [2.0**32, 3.0, 0.0]
+    df = spark.createDataFrame(list(v.items()), "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df, "vec_id < 4", k=3, factor=1).collect())
+    want = []
+    for q in range(4):
+        best = sorted((-sum(int(a) * int(b) for a, b in zip(v[q], x)), i) for i, x in v.items() if i != q)[:3]
+        want += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
+    assert got == want and max(abs(r[3]) for r in want) > 2**53
+    large = spark.createDataFrame([(1, [1e300])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="more than 64 bits"):
+        topk.top_k(large, "vec_id = 1").collect()

@@ -15,6 +15,8 @@ from hypothesis import strategies as st
 from dropsieve.llm import bpe, common, minhash, packing, pieces, rules, substring, suffix
 from dropsieve.llm.graph import components
 
+from .conftest import made
+
 public_tokenizers = pytest.importorskip("public_tokenizers")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -157,10 +159,53 @@ def brute_packing(docs):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(JSON)
-    tok.encode_special_tokens = True
     return {i: np.array(tok.encode(t or "", add_special_tokens=False).ids + [0], "<u4") for i, t in docs}
 
 
+def test_added_tokens_are_taken_out_first(spark):
+    texts = ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "<|endo", "ftext|>", "", "a<|endoftext|>'s  b", None]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    want = brute_packing([(i, t) for i, t, _ in rows])
+    got = packing.token_pieces(made(spark, rows).coalesce(1), JSON, keep_ids=True).collect()
+    assert {r["doc_id"]: r["ids"] for r in got} == {i: x.tolist() for i, x in want.items()}
+
+
+def thue_morse(n, a, b):
+    """Two texts whose polynomial hashes modulo a power of two are equal whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+def test_hashes_tell_thue_morse_words_apart(spark):
+    one, two = thue_morse(2048, "a", "b")
+    w1, w2 = (" ".join(x) for x in thue_morse(2048, "a", "b"))
+    for x, y in ((one, two), (w1, w2)):
+        buf, off = common.texts(pa.array([x, y]))
+        h = common.span_hash(common.byte_prefix(buf), off[:-1], off[1:])
+        assert h[0] != h[1]
+    p = common.prefix(common.BYTE_VALUES[np.frombuffer((one + two).encode(), np.uint8)])
+    h = common.span_hash(p, np.array([0, 2048]), np.array([2048, 4096]))
+    assert h[0] != h[1]
+    texts = [f"{one}\n{two}", one, two, f"start of it {w1}", f"end of all {w2}", w1, w2]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    docs = made(spark, rows).coalesce(1)
+    enc = tiktoken_encoding_cached()
+    ids = {r["doc_id"]: r["ids"] for r in bpe.encode(docs, RANKS).collect()}
+    assert ids == {i: enc.encode_ordinary(t) for i, t, _ in rows}
+    got = rows_of(rules.ledger(docs), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    assert got == sorted(((i, *measured(t)) for i, t, _ in rows), key=repr)
+    pair = minhash.near_duplicates(made(spark, [(1, one, "en"), (2, two, "en")]), width=4, percent=80)
+    assert sorted(r["component_id"] for r in pair.collect()) == [1, 2]
+    for length, op in ((50, substring), (400, suffix)):
+        long = [(1, f"first {w1}"), (2, f"second {w2}")]
+        got = {r["doc_id"]: r["n_removed"] for r in op.report(made(spark, [(i, t, "en") for i, t in long]), length=length).collect()}
+        if length == 50:
+            seen = {tuple(own_words(long[0][1])[k : k + 50]) for k in range(2049 - 49)}
+            w = own_words(long[1][1])
+            gone = {k + j for k in range(len(w) - 49) if tuple(w[k : k + 50]) in seen for j in range(50)}
+            assert got == {1: 0, 2: len(gone)}
+
+
 def test_packing(odd, odd_rows, nothing):
     import zlib
 
