@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dropsieve.session import checkpoint
 
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
@@ -25,3 +26,18 @@ def sized(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """
     kept = checkpoint(df)
     return F.broadcast(kept) if fits_broadcast(kept, max_rows) else kept
+
+
+def fits_bytes(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when the rows of ``df``, as they are after all that is planned, take at most ``max_bytes``.
+
+    Strings and arrays are measured, everything else counts as eight bytes, a row as sixteen more.
+    Reads no more rows than could fit.
+    """
+    size = F.lit(16)
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        text = F.length(F.col(f.name).cast("string")) if kind in ("string", "array", "binary") else F.lit(0)
+        size = size + 8 + F.coalesce(text, F.lit(0))
+    few = df.limit(max_bytes // (16 + 8 * len(df.columns)) + 1)
+    return (few.agg(F.sum(size)).first()[0] or 0) <= max_bytes

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import CELL, SAMPLE, peak_name, percent, ratio
 from dropsieve.functions.sizing import sized
-from dropsieve.operators.intervals import binned_overlap
+from dropsieve.operators.intervals import binned_overlap, steps
 from dropsieve.operators.overview import metric_distribution
 from dropsieve.params import AtacParams
 
@@ -57,11 +57,15 @@ def fragment_lengths(fragments: DataFrame) -> DataFrame:
 
 
 def peak_counts(fragments: DataFrame, peaks: DataFrame, width: int = 10_000) -> DataFrame:
-    """Triplets of the ``Peaks`` modality: overlapping fragments per barcode and peak."""
+    """Triplets of the ``Peaks`` modality: overlapping fragments per barcode and peak.
+
+    Peaks with a ``sample_id`` count for their sample only.
+    """
     frag = fragments.select(SAMPLE, "barcode", "chrom", "start", "end")
-    sites = peaks.select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
+    by = (SAMPLE,) if SAMPLE in peaks.columns else ()
+    sites = peaks.select(*by, "chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
     return (
-        binned_overlap(frag, sites, width)
+        binned_overlap(frag, sites, width, by=by)
         .groupBy(SAMPLE, "barcode", "chrom", "r_start", "r_end")
         .agg(F.count("*").alias("n"))
         .select(
@@ -94,16 +98,18 @@ def add_frip(cells: DataFrame) -> DataFrame:
 
 
 def blacklisted_peaks(peaks: DataFrame, blacklist: DataFrame, width: int = 10_000) -> DataFrame:
-    """Names of the peaks that overlap a blacklist region."""
+    """Names of the peaks that overlap a blacklist region, by sample if the peaks are."""
     bad = blacklist.select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
-    hits = binned_overlap(peaks.select("chrom", "start", "end"), bad, width)
+    by = [SAMPLE] if SAMPLE in peaks.columns else []
+    hits = binned_overlap(peaks.select(*by, "chrom", "start", "end"), bad, width)
     name = peak_name(F.col("chrom"), F.col("start"), F.col("end"))
-    return hits.select(name.alias("feature_id")).distinct()
+    return hits.select(*by, name.alias("feature_id")).distinct()
 
 
 def blacklist_fraction(peak_triplets: DataFrame, bad_peaks: DataFrame) -> DataFrame:
     """Share of a cell's peak counts in blacklisted peaks."""
-    flagged = peak_triplets.join(sized(bad_peaks.withColumn("_bad", F.lit(True))), "feature_id", "left")
+    key = [c for c in (SAMPLE, "feature_id") if c in bad_peaks.columns]
+    flagged = peak_triplets.join(sized(bad_peaks.withColumn("_bad", F.lit(True))), key, "left")
     return flagged.groupBy(*CELL).agg(
         ratio(F.sum(F.when(F.col("_bad"), F.col("n")).otherwise(0)), F.sum("n")).alias(
             "blacklist_fraction"
@@ -114,29 +120,33 @@ def blacklist_fraction(peak_triplets: DataFrame, bad_peaks: DataFrame) -> DataFr
 def tss_enrichment(fragments: DataFrame, tss: DataFrame, p: AtacParams) -> DataFrame:
     """Insertions around start sites, centre over flank, per cell.
 
-    Both ends of a fragment count. A cell without flank insertions takes the
-    mean flank of its sample. With start sites of a checked size the ends are
-    not shuffled; only the two sums per cell are.
+    Both ends of a fragment count. Offsets run along the strand: on ``-`` they are mirrored; without a
+    column ``strand`` all sites are on ``+``. A cell without flank insertions takes the mean flank of
+    its sample. The sites' windows become disjoint steps first, so an insertion meets one step however
+    densely sites lie; with steps of a checked size the ends are not shuffled, only the two sums per
+    cell are.
     """
-    ends = fragments.select(
-        SAMPLE, "barcode", "chrom", F.explode(F.array("start", "end")).alias("pos")
-    ).select("*", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
-    around = tss.select(
-        "chrom",
-        F.col("pos").alias("site"),
-        (F.col("pos") - p.tss_window).alias("r_start"),
-        (F.col("pos") + p.tss_window + 1).alias("r_end"),
+    pos, back = F.col("pos"), F.lit(False)
+    if "strand" in tss.columns:
+        back = F.coalesce(F.col("strand") == "-", back)
+
+    def window(kind: str, lo: int, hi: int):
+        start = F.when(back, pos - hi).otherwise(pos + lo)
+        return F.struct(F.lit(kind).alias("kind"), start.alias("r_start"), (start + hi - lo + 1).alias("r_end"))
+
+    windows = F.array(
+        window("flank", -p.tss_window, -p.tss_window + p.tss_flank - 1),
+        window("flank", p.tss_window - p.tss_flank + 1, p.tss_window),
+        window("centre", p.tss_centre_lo, p.tss_centre_hi),
     )
-    off = F.col("pos") - F.col("site")
-    in_flank = (off < -p.tss_window + p.tss_flank) | (off > p.tss_window - p.tss_flank)
-    in_centre = off.between(p.tss_centre_lo, p.tss_centre_hi)
+    around = steps(tss.select("chrom", F.inline(windows)), ("flank", "centre"))
+    ends = fragments.select(
+        SAMPLE, "barcode", "chrom", F.explode(F.array("start", "end")).alias("start")
+    ).withColumn("end", F.col("start") + 1)
     hits = (
-        binned_overlap(ends, around, max(10_000, 2 * p.tss_window + 1))
+        binned_overlap(ends, around, max(1000, p.tss_centre_hi - p.tss_centre_lo + 1))
         .groupBy(*CELL)
-        .agg(
-            F.count_if(in_flank).alias("flank"),
-            F.count_if(in_centre).alias("centre"),
-        )
+        .agg(F.sum("flank").alias("flank"), F.sum("centre").alias("centre"))
     )
     cells = fragments.select(*CELL).distinct().join(hits, CELL, "left").na.fill(0, ["flank", "centre"])
     flank_mean = F.col("flank") / (2.0 * p.tss_flank)

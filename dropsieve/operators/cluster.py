@@ -1,4 +1,16 @@
-"""Graph clustering by modularity, in rounds of DataFrame joins."""
+"""Graph clustering by modularity to a local optimum, in rounds of DataFrame joins.
+
+In a round every node looks for the neighbouring cluster it gains most by moving to. All that gain
+cannot move at once, so a round makes only moves that raise modularity together:
+
+* a cluster either takes nodes or gives them, by which of the two gains more. Moves from giving to
+  taking clusters leave each other's links as they are, or better. Made are those that gain more than
+  all the masses that come to their target and leave their source could take away from them;
+* where there is no such move, those that gain most of all moves at both their source and target.
+
+The best move of all is among the latter, so the search ends only where no move is left; modularity
+rises with every round, so there is an end.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import SAMPLE
+from dropsieve.functions.sizing import fits_broadcast
 from dropsieve.operators.ranks import distributed_rank
-from dropsieve.session import checkpoint
+from dropsieve.session import Scratch
 
-GAIN_EPS = 1e-9
+# Gains are compared at this many decimals; a gain is more than none at them.
+DECIMALS = 9
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
@@ -35,112 +49,173 @@ def modularity(adj: DataFrame, labels: DataFrame, resolution: float) -> DataFram
     )
 
 
-def _degrees(adj: DataFrame) -> DataFrame:
-    """Weight ``k`` of each node and ``m2`` of its sample."""
-    node = adj.groupBy(SAMPLE, "u").agg(F.sum("a").alias("k"))
-    return node.join(node.groupBy(SAMPLE).agg(F.sum("k").alias("m2")), SAMPLE)
-
-
-def _proposals(
-    adj: DataFrame, degrees: DataFrame, labels: DataFrame, resolution: float, active
-) -> DataFrame:
-    """Labels after every active node took its best neighbouring label."""
-    at = labels.join(degrees, [SAMPLE, "u"])
-    weight = at.groupBy(SAMPLE, "c").agg(F.sum("k").alias("kc"))
-    lv = labels.select(SAMPLE, F.col("u").alias("v"), "c")
-    links = adj.where(F.col("u") != F.col("v")).join(lv, [SAMPLE, "v"]).select(SAMPLE, "u", "c", "a")
-    stay = labels.select(SAMPLE, "u", "c", F.lit(0.0).alias("a"))
-    options = links.unionByName(stay).groupBy(SAMPLE, "u", "c").agg(F.sum("a").alias("w"))
-    own = at.select(SAMPLE, "u", "k", "m2", F.col("c").alias("c0"))
-    is_own = F.col("c") == F.col("c0")
-    rest = F.col("kc") - F.when(is_own, F.col("k")).otherwise(0.0)
-    gain = F.round(F.col("w") - resolution * F.col("k") * rest / F.col("m2"), 9)
-    best = (
-        options.join(own, [SAMPLE, "u"])
-        .join(weight, [SAMPLE, "c"])
-        .withColumn("g", gain)
-        .groupBy(SAMPLE, "u")
-        .agg(
-            F.min_by("c", F.struct(-F.col("g"), F.col("c"))).alias("to"),
-            F.max("g").alias("g1"),
-            F.max(F.when(is_own, F.col("g"))).alias("g0"),
-        )
+def _nodes(adj: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every node alone in its cluster, with its weight ``k`` and the weight ``m2`` of its sample."""
+    own = adj.groupBy(SAMPLE, "u").agg(F.sum("a").alias("k"))
+    total = own.groupBy(SAMPLE).agg(F.sum("k").alias("m2"))
+    k = F.coalesce("k", F.lit(0.0))
+    return (
+        nodes.select(SAMPLE, F.col("id").alias("u"))
+        .join(own, [SAMPLE, "u"], "left")
+        .join(F.broadcast(total) if fits_broadcast(total) else total, SAMPLE, "left")
+        .select(SAMPLE, "u", F.col("u").alias("c"), k.alias("k"), F.coalesce("m2", F.lit(0.0)).alias("m2"))
+    )
+
+
+def gains(adj: DataFrame, state: DataFrame, resolution: float) -> DataFrame:
+    """The best move of every node that gains: ``u, k, m2, c`` to ``to``, and its ``gain``.
+
+    Modularity rises by ``2 * gain / m2``. Among equal gains the smallest label is taken.
+    """
+    mass = state.groupBy(SAMPLE, "c").agg(F.sum("k").alias("kc"))
+    placed = state.join(mass, [SAMPLE, "c"])
+    there = placed.select(SAMPLE, F.col("u").alias("v"), F.col("c").alias("to"), F.col("kc").alias("kt"))
+    links = (
+        adj.where("u <> v")
+        .join(there, [SAMPLE, "v"])
+        .groupBy(SAMPLE, "u", "to")
+        .agg(F.sum("a").alias("w"), F.any_value("kt").alias("kt"))
     )
-    better = active & (F.col("g1") > F.col("g0") + GAIN_EPS)
-    return labels.join(best, [SAMPLE, "u"], "left").select(
-        SAMPLE, "u", F.when(better, F.col("to")).otherwise(F.col("c")).alias("c"), F.col("c").alias("c0")
+    each = links.join(placed, [SAMPLE, "u"])
+    pull = F.col("w") - resolution * F.col("k") * F.col("kt") / F.col("m2")
+    home = F.col("to") == F.col("c")
+    # Without a link home a node keeps its share of the mass there, less its own.
+    stay = F.coalesce(F.max(F.when(home, F.col("w"))), F.lit(0.0))
+    rest = F.any_value("k") * (F.any_value("kc") - F.any_value("k")) / F.any_value("m2")
+    best = each.groupBy(SAMPLE, "u").agg(
+        *(F.any_value(x).alias(x) for x in ("c", "k", "m2")),
+        F.min(F.when(~home, F.struct((-F.round(pull, DECIMALS)).alias("loss"), "to"))).alias("b"),
+        (stay - resolution * rest).alias("stay"),
     )
+    gain = F.round(-F.col("b.loss") - F.col("stay"), DECIMALS)
+    found = best.where("b IS NOT NULL").select(SAMPLE, "u", "c", "k", "m2", F.col("b.to").alias("to"), gain.alias("gain"))
+    return found.where("gain > 0")
 
 
-def _scores(adj: DataFrame, moved: DataFrame, resolution: float) -> dict[str, tuple[float, int]]:
-    """Modularity and number of moves, one row per sample."""
-    q = modularity(adj, moved.select(SAMPLE, "u", "c"), resolution)
-    n = moved.groupBy(SAMPLE).agg(F.count_if(F.col("c") != F.col("c0")).alias("n"))
-    return {r[SAMPLE]: (r["q"], r["n"]) for r in n.join(q, SAMPLE).collect()}
+def _per_cluster(moves: DataFrame, *sums) -> DataFrame:
+    """``sums`` over the moves from or to each cluster; ``e.into`` tells which."""
+    ends = F.array(
+        F.struct(F.col("c").alias("at"), F.lit(False).alias("into")),
+        F.struct(F.col("to").alias("at"), F.lit(True).alias("into")),
+    )
+    return moves.withColumn("e", F.explode(ends)).groupBy(SAMPLE, F.col("e.at").alias("at")).agg(*sums)
+
+
+def _at_both_ends(moves: DataFrame, per: DataFrame) -> DataFrame:
+    """``moves`` with the values of ``per`` at their source and at their target."""
+    cols = [x for x in per.columns if x not in (SAMPLE, "at")]
+    for side in ("c", "to"):
+        named = per.select(SAMPLE, F.col("at").alias(side), *(F.col(x).alias(f"{x}_{side}") for x in cols))
+        moves = moves.join(named, [SAMPLE, side])
+    return moves
+
+
+def _together(moves: DataFrame, resolution: float, salt: int) -> DataFrame:
+    """Moves from giving to taking clusters that gain whatever the others do: ``u, to``."""
+    def total(x: str, into: bool):
+        return F.sum(F.when(F.col("e.into") if into else ~F.col("e.into"), F.col(x)).otherwise(0.0))
+
+    net = F.round(total("gain", True) - total("gain", False), DECIMALS)
+    coin = F.pmod(F.xxhash64("at", F.lit(salt)), F.lit(2)) == 0
+    per = _per_cluster(
+        moves, net.alias("net"), total("k", True).alias("comes"), total("k", False).alias("goes")
+    ).select(SAMPLE, "at", ((F.col("net") > 0) | (F.col("net") == 0) & coin).alias("takes"), "comes", "goes")
+    lost = resolution * F.col("k") * (F.col("comes_to") + F.col("goes_c") - 2 * F.col("k")) / F.col("m2")
+    safe = ~F.col("takes_c") & F.col("takes_to") & (F.col("gain") > F.round(lost, DECIMALS))
+    return _at_both_ends(moves, per).where(safe).select(SAMPLE, "u", "to")
+
+
+def _one_by_one(moves: DataFrame) -> DataFrame:
+    """Of the moves that touch a cluster the best one, where it is the best at both its ends."""
+    mine = F.struct("gain", "u")
+    best = _at_both_ends(moves, _per_cluster(moves, F.max(mine).alias("top")))
+    return best.where((F.col("top_c") == mine) & (F.col("top_to") == mine)).select(SAMPLE, "u", "to")
+
+
+def moved(adj: DataFrame, state: DataFrame, resolution: float, salt: int, scratch: Scratch) -> DataFrame | None:
+    """The nodes after one round; None if no move gains."""
+    moves = scratch.keep(gains(adj, state, resolution))
+    if moves.isEmpty():
+        return None
+    made = scratch.keep(_together(moves, resolution, salt))
+    if made.isEmpty():
+        made = _one_by_one(moves)
+    label = F.coalesce("to", "c").alias("c")
+    return scratch.keep(state.join(made, [SAMPLE, "u"], "left").select(SAMPLE, "u", label, "k", "m2"))
+
+
+def _contracted(adj: DataFrame, state: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Edges between clusters, and the clusters as nodes."""
+    lu = state.select(SAMPLE, "u", F.col("c").alias("cu"))
+    lv = state.select(SAMPLE, F.col("u").alias("v"), F.col("c").alias("cv"))
+    edges = (
+        adj.join(lu, [SAMPLE, "u"])
+        .join(lv, [SAMPLE, "v"])
+        .groupBy(SAMPLE, F.col("cu").alias("u"), F.col("cv").alias("v"))
+        .agg(F.sum("a").alias("a"))
+    )
+    whole = state.groupBy(SAMPLE, F.col("c").alias("u")).agg(F.sum("k").alias("k"), F.any_value("m2").alias("m2"))
+    return scratch.keep(edges), scratch.keep(whole.select(SAMPLE, "u", F.col("u").alias("c"), "k", "m2"))
 
 
-def local_moves(
-    adj: DataFrame, labels: DataFrame, resolution: float, seed: int, rounds: int
-) -> tuple[DataFrame, list[dict[str, float]]]:
-    """Labels after up to ``rounds`` rounds, and each sample's modularity after each.
+def labels(edges: DataFrame, nodes: DataFrame, resolution: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Adjacency and the nodes ``sample_id, u, c, k, m2`` at a local optimum, as stored tables.
 
-    A round's moves are kept for a sample only if its modularity does not fall.
-    It ends early when nothing moves in two rounds, one for each half.
+    Clusters merge round by round until no merge gains, then nodes move until no move gains; both are
+    repeated until neither finds anything. So at the end neither moving a node to a neighbouring
+    cluster nor merging two clusters raises modularity.
     """
-    degrees = checkpoint(_degrees(adj))
-    history: list[dict[str, float]] = []
-    quiet = 0
-    for r in range(rounds):
-        half = F.pmod(F.xxhash64("u", F.lit(seed)), F.lit(2)) == r % 2
-        moved = checkpoint(_proposals(adj, degrees, labels, resolution, half))
-        scores = _scores(adj, moved, resolution)
-        last = history[-1] if history else {}
-        fell = [s for s, (q, _) in scores.items() if q < last.get(s, float("-inf"))]
-        if fell:
-            keep = F.when(F.col(SAMPLE).isin(fell), F.col("c0")).otherwise(F.col("c"))
-            moved = checkpoint(moved.select(SAMPLE, "u", keep.alias("c"), "c0"))
-        labels = moved.select(SAMPLE, "u", "c")
-        history.append({s: last[s] if s in fell else q for s, (q, _) in scores.items()})
-        quiet = quiet + 1 if all(n == 0 for s, (_, n) in scores.items() if s not in fell) else 0
-        if quiet == 2:
-            break
-    return labels, history
-
-
-def clusters(
-    edges: DataFrame,
-    nodes: DataFrame,
-    resolution: float = 0.2,
-    seed: int = 1000,
-    levels: int = 3,
-    rounds: int = 8,
-) -> DataFrame:
+    scratch, out = Scratch(edges.sparkSession, "rounds"), Scratch(edges.sparkSession, "clusters")
+    adj = out.keep(adjacency(edges))
+    best = scratch.keep(_nodes(adj, nodes))
+    graph, parts = adj, best
+    salt = seed
+    while True:
+        merged = False
+        while (now := moved(graph, parts, resolution, salt, scratch)) is not None:
+            salt, merged = salt + 1, True
+            to = now.select(SAMPLE, F.col("u").alias("c"), F.col("c").alias("to"))
+            best = scratch.keep(best.join(to, [SAMPLE, "c"]).select(SAMPLE, "u", F.col("to").alias("c"), "k", "m2"))
+            graph, parts = _contracted(graph, now, scratch)
+        shifted = False
+        while merged and (now := moved(adj, best, resolution, salt, scratch)) is not None:
+            salt, shifted, best = salt + 1, True, now
+        if not shifted:
+            best = out.keep(best)
+            scratch.clear()
+            return adj, best
+        graph, parts = _contracted(adj, best, scratch)
+
+
+def clusters(edges: DataFrame, nodes: DataFrame, resolution: float = 0.2, seed: int = 1000) -> DataFrame:
     """Cluster number per node, ``sample_id, id, cluster``; 0 is the largest cluster.
 
-    In a round half of the nodes, chosen by a seeded hash, take the neighbouring
-    label with the largest modularity gain, the smallest label among equals.
-    Then clusters become the nodes of the next level. ``nodes`` has
-    ``sample_id, id``; those without an edge stay alone.
+    ``nodes`` has ``sample_id, id``; those without an edge stay alone.
+    """
+    _, found = labels(edges, nodes, resolution, seed)
+    return number_clusters(found.select(SAMPLE, F.col("u").alias("id"), "c"))
+
+
+def move_gains(adj: DataFrame, state: DataFrame, resolution: float) -> DataFrame:
+    """What modularity gains by each move of a node to a neighbouring cluster, ``u, to, gain``.
+
+    Taken as a difference of whole sums, apart from the search, so that a labelling can be checked.
     """
-    adj = checkpoint(adjacency(edges))
-    member = checkpoint(nodes.select(SAMPLE, F.col("id"), F.col("id").alias("u")))
-    for level in range(levels):
-        start = member.select(SAMPLE, "u").distinct().withColumn("c", F.col("u"))
-        labels, _ = local_moves(adj, start, resolution, seed + level, rounds)
-        if labels.where("u <> c").isEmpty():
-            break
-        member = checkpoint(
-            member.join(labels, [SAMPLE, "u"]).select(SAMPLE, "id", F.col("c").alias("u"))
-        )
-        lu = labels.select(SAMPLE, "u", F.col("c").alias("cu"))
-        lv = labels.select(SAMPLE, F.col("u").alias("v"), F.col("c").alias("cv"))
-        adj = checkpoint(
-            adj.join(lu, [SAMPLE, "u"])
-            .join(lv, [SAMPLE, "v"])
-            .groupBy(SAMPLE, F.col("cu").alias("u"), F.col("cv").alias("v"))
-            .agg(F.sum("a").alias("a"))
-        )
-    return number_clusters(member.withColumnRenamed("u", "c"))
+    lv = state.select(SAMPLE, F.col("u").alias("v"), F.col("c").alias("to"))
+    mass = state.groupBy(SAMPLE, "c").agg(F.sum("k").alias("kc"))
+    weight = adj.where("u <> v").join(lv, [SAMPLE, "v"]).groupBy(SAMPLE, "u", "to").agg(F.sum("a").alias("w"))
+    own = state.join(weight.withColumnRenamed("to", "c").withColumnRenamed("w", "w0"), [SAMPLE, "u", "c"], "left")
+    at = own.join(mass, [SAMPLE, "c"])
+    there = mass.select(SAMPLE, F.col("c").alias("to"), F.col("kc").alias("kt"))
+    k, m2, kc, kt = (F.col(x) for x in ("k", "m2", "kc", "kt"))
+
+    def inside(w, total):
+        return 2 * w - resolution * total * total / m2
+
+    before = inside(F.lit(0.0), kt) + inside(F.coalesce("w0", F.lit(0.0)), kc)
+    after = inside(F.col("w"), kt + k) + inside(F.lit(0.0), kc - k)
+    moves = weight.join(at, [SAMPLE, "u"]).where("to <> c").join(there, [SAMPLE, "to"])
+    return moves.select(SAMPLE, "u", "to", F.round((after - before) / m2, DECIMALS).alias("gain"))
 
 
 def number_clusters(member: DataFrame) -> DataFrame:

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropsieve.functions.scalars import SAMPLE
-from dropsieve.functions.sizing import sized
+from dropsieve.functions.sizing import fits_broadcast, sized
+from dropsieve.session import checkpoint
 
 # Squared distances are compared at this many decimals; ties go to the smaller id.
 DECIMALS = 9
+# Bounds are widened by this share, far beyond what rounding changes.
+SLACK = 1e-4
 
 
 def _nearest(a: np.ndarray, b: np.ndarray, k: int, same: bool):
@@ -44,63 +47,263 @@ def _nearest(a: np.ndarray, b: np.ndarray, k: int, same: bool):
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(dist)
 
 
+def _by_sample(pdf: pd.DataFrame) -> np.ndarray:
+    return np.stack(pdf["vec"].to_list())
+
+
+def _numbered(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    n = vectors.groupBy(SAMPLE).agg(F.count("*").alias("_n"))
+    return vectors.select(
+        SAMPLE, F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")
+    ).join(sized(n), SAMPLE)
+
+
+def ball_blocks(
+    vectors: DataFrame, id_col: str = "id", vec_col: str = "vec", block_rows: int = 4096
+) -> DataFrame:
+    """Rows dealt to the blocks of a ball partition: ``sample_id, id, vec, ball, part, off``.
+
+    The centres are rows taken by a hash of their id, one in ``block_rows`` on average and at least
+    one a sample. Each row belongs to its nearest centre, ``off`` its distance to it; a ball with many
+    more rows than a block is split by hash, so that no block is large, whatever the data.
+    """
+    rows = _numbered(vectors, id_col, vec_col)
+    chunks = F.ceil(F.col("_n") / block_rows).cast("int")
+    chosen = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(block_rows)) == 0
+    first = rows.groupBy(SAMPLE).agg(F.min(F.struct(F.xxhash64("id", F.lit(2)), "id")).alias("m"))
+    lone = first.select(SAMPLE, F.col("m.id").alias("id"))
+    centres = (
+        rows.join(lone.withColumn("_lone", F.lit(True)), [SAMPLE, "id"], "left")
+        .where(chosen | F.col("_lone"))
+        .withColumn("to", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        .select(F.col(SAMPLE).alias("of"), F.col("id").alias("ball"), F.col("vec").alias("centre"), "to")
+    )
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks).cast("int"))
+
+    def assign(own: pd.DataFrame, centre: pd.DataFrame) -> pd.DataFrame:
+        if own.empty:
+            return pd.DataFrame({SAMPLE: [], "id": [], "vec": [], "ball": [], "off": []})
+        centre = centre.sort_values("ball")
+        c, names = np.stack(centre["centre"].to_list()), centre["ball"].to_numpy()
+        x = _by_sample(own)
+        ball, off = [], []
+        for at in range(0, len(x), 1024):
+            part = x[at : at + 1024]
+            d = (part * part).sum(1)[:, None] + (c * c).sum(1) - 2.0 * (part @ c.T)
+            at_min = d.argmin(axis=1)
+            ball.append(names[at_min])
+            off.append(np.sqrt(((part - c[at_min]) ** 2).sum(axis=1)))
+        return pd.DataFrame(
+            {SAMPLE: own[SAMPLE], "id": own["id"], "vec": own["vec"], "ball": np.concatenate(ball), "off": np.concatenate(off)}
+        )
+
+    kind = rows.schema["id"].dataType.simpleString()
+    placed = (
+        dealt.groupBy(SAMPLE, "chunk")
+        .cogroup(centres.groupBy("of", "to"))
+        .applyInPandas(assign, f"{SAMPLE} string, id {kind}, vec array<double>, ball {kind}, off double")
+    )
+    # Stored: everything that follows reads it, and the splits depend on its counts.
+    placed = checkpoint(placed)
+    count = placed.groupBy(SAMPLE, "ball").agg(F.ceil(F.count("*") / (2 * block_rows)).cast("int").alias("_parts"))
+    part = F.pmod(F.xxhash64("id", F.lit(3)), F.col("_parts")).cast("int").alias("part")
+    return placed.join(sized(count), [SAMPLE, "ball"]).select(SAMPLE, "id", "vec", "ball", part, "off")
+
+
+def _within(blocks: DataFrame, k: int, kind: str) -> DataFrame:
+    """The ``k`` nearest of every row among those of its block."""
+
+    def own(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        ids = pdf["id"].to_numpy()
+        vec = _by_sample(pdf)
+        r, c, d = _nearest(vec, vec, k, True)
+        return pd.DataFrame({SAMPLE: pdf[SAMPLE].iloc[0], "src": ids[r], "dst": ids[c], "d2": d})
+
+    schema = f"{SAMPLE} string, src {kind}, dst {kind}, d2 double"
+    return blocks.groupBy(SAMPLE, "ball", "part").applyInPandas(own, schema)
+
+
+def block_pairs(blocks: DataFrame, near: DataFrame, k: int) -> DataFrame:
+    """Pairs of different blocks that may hold near rows of each other, by triangle bounds.
+
+    ``sample_id, ball1, part1, ball2, part2``. No row of a block has its ``k``-th neighbour further than
+    ``reach``: the furthest found inside the block, or across the nearest block that has ``k`` rows.
+    Blocks whose gap (distance of the centres less both radii) exceeds the reach of both never meet.
+    """
+    kth = near.groupBy(SAMPLE, "src").agg(F.when(F.count("*") >= k, F.max("d2")).alias("d2"))
+    limit = blocks.join(kth.withColumnRenamed("src", "id"), [SAMPLE, "id"], "left")
+    block = limit.groupBy(SAMPLE, "ball", "part").agg(
+        F.max("off").alias("radius"),
+        F.count("*").alias("rows"),
+        F.when(F.count("*") == F.count("d2"), F.sqrt(F.max("d2"))).alias("inside"),
+    )
+    centre = blocks.where("id = ball").select(SAMPLE, "ball", F.col("vec").alias("centre"))
+    block = checkpoint(block.join(centre, [SAMPLE, "ball"]))
+
+    def side(i: int) -> DataFrame:
+        return block.select(SAMPLE, *(F.col(c).alias(f"{c}{i}") for c in block.columns if c != SAMPLE))
+
+    square = F.aggregate(
+        F.zip_with("centre1", "centre2", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x
+    )
+    met = (
+        side(1).join(side(2), SAMPLE).where("ball1 <> ball2 OR part1 <> part2")
+        .withColumn("far", F.sqrt(square))
+        .select(SAMPLE, "ball1", "part1", "ball2", "part2", "inside1", "rows2", "far", (F.col("radius1") + F.col("radius2")).alias("wide"))
+    )
+    across = F.min(F.when(F.col("rows2") >= k, F.col("far") + F.col("wide")))
+    reach = met.groupBy(SAMPLE, "ball1", "part1").agg(F.least(F.any_value("inside1"), across).alias("reach"))
+    slack = SLACK * (1 + F.col("reach") + F.col("far"))
+    near_by = F.col("reach").isNull() | (F.col("far") - F.col("wide") <= F.col("reach") + slack)
+    wanted = met.join(reach, [SAMPLE, "ball1", "part1"]).where(near_by)
+    one, other = (F.struct(F.col(f"ball{i}").alias("ball"), F.col(f"part{i}").alias("part")) for i in (1, 2))
+    pair = wanted.select(SAMPLE, F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
+    return pair.select(
+        SAMPLE,
+        *(F.col(f"{x}.{c}").alias(f"{c}{i}") for i, x in ((1, "a"), (2, "b")) for c in ("ball", "part")),
+    )
+
+
+def _top(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy(SAMPLE, "src").orderBy("d2", "dst")
+    return (
+        found.withColumn("rank", F.row_number().over(w))
+        .where(F.col("rank") <= k)
+        .select(SAMPLE, "src", "dst", F.sqrt("d2").alias("dist"), "rank")
+    )
+
+
 def nearest_neighbours(
     vectors: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec", block_rows: int = 4096
 ) -> DataFrame:
     """Exact ``k`` nearest others of every row: ``sample_id, src, dst, dist, rank``.
 
-    Rows of a sample are spread over blocks of about ``block_rows``. Each pair
-    of blocks meets once in one task, which sends out only the ``k`` best of
-    each row for both directions; these are merged per row. No task holds more
-    than two blocks, however large the sample.
+    Rows of a sample lie in the blocks of a ball partition. Each block is searched by itself first;
+    then only those pairs of blocks meet that the triangle inequality does not rule out, and a row
+    sends out only what is no further than its ``k``-th so far. No task holds more than two blocks.
     """
-    n = vectors.groupBy(SAMPLE).agg(F.count("*").alias("_n"))
-    placed = (
-        vectors.select(SAMPLE, F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-        .join(sized(n), SAMPLE)
-        .withColumn("_nb", F.ceil(F.col("_n") / block_rows).cast("int"))
-        .withColumn("b", F.pmod(F.xxhash64("id"), F.col("_nb")).cast("int"))
-        .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
-        .select(SAMPLE, F.least("b", "_j").alias("lo"), F.greatest("b", "_j").alias("hi"), "b", "id", "vec")
-    )
+    blocks = ball_blocks(vectors, id_col, vec_col, block_rows)
+    kind = blocks.schema["id"].dataType.simpleString()
+    near = checkpoint(_within(blocks, k, kind))
+    pairs = checkpoint(block_pairs(blocks, near, k))
+    kth = near.groupBy(SAMPLE, "src").agg(F.when(F.count("*") >= k, F.max("d2")).alias("limit"))
+    limited = blocks.join(kth.withColumnRenamed("src", "id"), [SAMPLE, "id"], "left")
+    key = [SAMPLE, "ball1", "part1", "ball2", "part2"]
+
+    def side(i: int) -> DataFrame:
+        rows = limited.select(SAMPLE, F.col("ball").alias(f"ball{i}"), F.col("part").alias(f"part{i}"), "id", "vec", "limit")
+        met = F.broadcast(pairs) if fits_broadcast(pairs) else pairs
+        return rows.join(met, [SAMPLE, f"ball{i}", f"part{i}"]).select(*key, F.lit(i).alias("side"), "id", "vec", "limit")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        ids, blk = pdf["id"].to_numpy(), pdf["b"].to_numpy()
-        vec = np.stack(pdf["vec"].to_list())
-        ia, ib = np.flatnonzero(blk == lo), np.flatnonzero(blk == hi)
+        vec, ids = _by_sample(pdf), pdf["id"].to_numpy()
+        limit = pdf["limit"].fillna(np.inf).to_numpy()
+        one, other = (np.flatnonzero(pdf["side"].to_numpy() == i) for i in (1, 2))
         found = []
-        turns = [(ia, ia)] if lo == hi else [(ia, ib), (ib, ia)]
-        for x, y in turns:
-            if len(x) and len(y):
-                r, c, d = _nearest(vec[x], vec[y], k, lo == hi)
-                found.append(pd.DataFrame({"src": ids[x][r], "dst": ids[y][c], "d2": d}))
-        if not found:
-            return pd.DataFrame({SAMPLE: [], "src": [], "dst": [], "d2": []})
+        for x, y in ((one, other), (other, one)):
+            r, c, d = _nearest(vec[x], vec[y], k, False)
+            near_enough = d <= limit[x][r]
+            found.append(pd.DataFrame({"src": ids[x][r], "dst": ids[y][c], "d2": d})[near_enough])
         out = pd.concat(found, ignore_index=True)
         out.insert(0, SAMPLE, pdf[SAMPLE].iloc[0])
         return out
 
-    id_type = placed.schema["id"].dataType.simpleString()
-    schema = f"{SAMPLE} string, src {id_type}, dst {id_type}, d2 double"
-    local = placed.groupBy(SAMPLE, "lo", "hi").applyInPandas(meet, schema)
-    w = Window.partitionBy(SAMPLE, "src").orderBy("d2", "dst")
-    return (
-        local.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= k)
-        .select(SAMPLE, "src", "dst", F.sqrt("d2").alias("dist"), "rank")
+    schema = f"{SAMPLE} string, src {kind}, dst {kind}, d2 double"
+    across = side(1).unionByName(side(2)).groupBy(*key).applyInPandas(meet, schema)
+    return _top(near.unionByName(across), k)
+
+
+def _planes(tables: int, bits: int, width: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).standard_normal((tables * bits, width))
+
+
+def approximate_neighbours(
+    vectors: DataFrame,
+    k: int,
+    id_col: str = "id",
+    vec_col: str = "vec",
+    tables: int = 8,
+    probes: int = 4,
+    bucket_rows: int = 512,
+    seed: int = 1000,
+) -> DataFrame:
+    """About the ``k`` nearest others of every row, as ``nearest_neighbours`` returns them.
+
+    Multi-probe random-projection hashing, to be chosen by name where the exact search is too dear.
+    Each of ``tables`` codes has the signs of as many projections as make buckets of about
+    ``bucket_rows`` rows on average. A row is stored in its bucket of each table and looks into it and
+    into those reached by changing one of its ``probes`` signs that were closest to turning. A bucket
+    of very many rows is dealt to parts, and the rows that look into it to as many again, which all
+    meet: nothing is left out, no task holds more than two parts. With rows spread over buckets the
+    work is linear in their number. Distances are exact; ties go to the smaller id.
+    """
+    rows = _numbered(vectors, id_col, vec_col)
+    kind = rows.schema["id"].dataType.simpleString()
+    place = f"tab int, code long, own boolean, {SAMPLE} string, id {kind}, vec array<double>"
+
+    def hashed(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = _by_sample(pdf)
+            n = pdf["_n"].to_numpy()
+            bits = np.ceil(np.log2(np.maximum(n / bucket_rows, 1))).astype(int)
+            for b in np.unique(bits):
+                at = np.flatnonzero(bits == b)
+                part = pdf.iloc[at]
+                size = max(int(b), 1)
+                p = (x[at] @ _planes(tables, size, x.shape[1], seed).T).reshape(len(at), tables, size)
+                code = ((p > 0) << np.arange(size)).sum(axis=2) if b else np.zeros((len(at), tables), int)
+                weak = np.argsort(np.abs(p), axis=2, kind="stable")[:, :, : min(probes, int(b))]
+                for t in range(tables if b else 1):
+                    looks = [(code[:, t], True)] + [(code[:, t] ^ (1 << weak[:, t, j]), False) for j in range(weak.shape[2])]
+                    for c, own in looks:
+                        yield pd.DataFrame(
+                            {"tab": t, "code": c, "own": own, SAMPLE: part[SAMPLE], "id": part["id"], "vec": part["vec"]}
+                        )
+
+    placed = rows.mapInPandas(hashed, place)
+    key = [SAMPLE, "tab", "code"]
+    size = placed.groupBy(*key).agg(
+        F.greatest(F.lit(1), F.ceil(F.count_if("own") / (8 * bucket_rows))).cast("int").alias("_held"),
+        F.ceil(F.count("*") / (8 * bucket_rows)).cast("int").alias("_asked"),
     )
+    spread = placed.join(size, key)
 
+    def part(count: str, salt: int):
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(count)).cast("int")
 
-def shared_neighbours(knn: DataFrame, k: int, prune: float) -> DataFrame:
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    cols = (*key, "held", "asked", "id", "vec", "looks")
+    held = spread.where("own").withColumns({"held": part("_held", 4), "looks": F.lit(False)}).withColumn("asked", every("_asked"))
+    asks = spread.withColumns({"asked": part("_asked", 5), "looks": F.lit(True)}).withColumn("held", every("_held"))
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        ids, looks = pdf["id"].to_numpy(), pdf["looks"].to_numpy()
+        vec = _by_sample(pdf)
+        x, y = np.flatnonzero(looks), np.flatnonzero(~looks)
+        r, c, d = _nearest(vec[x], vec[y], k + 1, False)
+        other = ids[x][r] != ids[y][c]
+        return pd.DataFrame({SAMPLE: pdf[SAMPLE].iloc[0], "src": ids[x][r], "dst": ids[y][c], "d2": d})[other]
+
+    schema = f"{SAMPLE} string, src {kind}, dst {kind}, d2 double"
+    both = held.select(*cols).unionByName(asks.select(*cols))
+    found = both.groupBy(*key, "held", "asked").applyInPandas(search, schema)
+    return _top(found.groupBy(SAMPLE, "src", "dst").agg(F.min("d2").alias("d2")), k)
+
+
+def shared_neighbours(knn: DataFrame, k: int, prune: float, hub_rows: int = 512) -> DataFrame:
     """Pairs of rows by the Jaccard index of their neighbour lists, from ``prune`` up.
 
     A list is the row itself and its ``k`` nearest others. Two lists that reach
     ``prune`` have so many members in common that at least one is among the
     rarer members of both; only those are indexed. A row that is a neighbour of
-    very many others is the last to be indexed, so the join does not pair all
-    rows around it.
+    very many others is the last to be indexed; where it still is, the rows
+    around it are cut into parts of about ``hub_rows``, and each two parts meet
+    under a key of their own.
     """
     own = knn.select(SAMPLE, "src").distinct().select(SAMPLE, "src", F.col("src").alias("dst"))
     members = knn.select(SAMPLE, "src", "dst").unionByName(own)
@@ -116,14 +319,26 @@ def shared_neighbours(knn: DataFrame, k: int, prune: float) -> DataFrame:
     index = lists.select(
         SAMPLE, "src", "nbrs", F.explode(F.slice("nbrs", F.lit(1), size - need + 1)).alias("dst")
     )
-    a = index.select(SAMPLE, "dst", F.col("src").alias("src1"), F.col("nbrs").alias("n1"))
-    b = index.select(SAMPLE, "dst", F.col("src").alias("src2"), F.col("nbrs").alias("n2"))
+    # The rows around one member, dealt to parts of bounded size; every two parts meet in one place.
+    count = index.groupBy(SAMPLE, "dst").agg(F.ceil(F.count("*") / hub_rows).cast("int").alias("_parts"))
+    hubs = count.where("_parts > 1")
+    dealt = (
+        index.join(hubs, [SAMPLE, "dst"], "left")
+        .withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+        .withColumn("_p", F.pmod(F.xxhash64("src"), F.col("_parts")).cast("int"))
+        .withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        .withColumns({"lo": F.least("_p", "_q"), "hi": F.greatest("_p", "_q")})
+    )
+    a, b = (
+        dealt.select(SAMPLE, "dst", "lo", "hi", F.col("_p").alias(f"p{i}"), F.col("src").alias(f"src{i}"), F.col("nbrs").alias(f"n{i}"))
+        for i in (1, 2)
+    )
     both = F.array_intersect("n1", "n2")
     c = F.size("both")
     weight = c / (F.size("n1") + F.size("n2") - c)
     return (
-        a.join(b, [SAMPLE, "dst"])
-        .where(F.col("src1") < F.col("src2"))
+        a.join(b, [SAMPLE, "dst", "lo", "hi"])
+        .where("src1 < src2 AND (lo = hi OR p1 <> p2)")
         .withColumn("both", both)
         .where(F.get("both", F.lit(0)) == F.col("dst"))
         .select(SAMPLE, "src1", "src2", c.cast("bigint").alias("shared"), weight.alias("weight"))

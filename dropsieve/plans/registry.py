@@ -27,8 +27,8 @@ from dropsieve.operators import (
     synthetic,
 )
 from dropsieve.plans import runs
-from dropsieve.plans.views import ATAC, EMBED, QC, TWIN_K, Views
-from dropsieve.session import configure, shared_dir
+from dropsieve.plans.views import ATAC, EMBED, QC, Views
+from dropsieve.session import checkpoint, configure, shared_dir
 from dropsieve.sources import readers, sinks
 
 DIGITS = 6
@@ -458,6 +458,23 @@ def tss_enrichment(v):
     return atac.tss_enrichment(v.fragments, v.tss, ATAC)
 
 
+@query
+def peak_counts_by_sample(v):
+    return atac.peak_counts(v.fragments, v.sample_peaks)
+
+
+@query
+def blacklist_fraction_by_sample(v):
+    """The share in blacklisted peaks where every sample has peaks of its own."""
+    bad = atac.blacklisted_peaks(v.sample_peaks, v.blacklist)
+    return atac.blacklist_fraction(atac.peak_counts(v.fragments, v.sample_peaks), bad)
+
+
+@query
+def tss_enrichment_stranded(v):
+    return atac.tss_enrichment(v.fragments, v.tss_stranded, ATAC)
+
+
 @query
 def chromatin_cells(v):
     return atac.pass_flags(v.chromatin_cells, ATAC)
@@ -535,20 +552,31 @@ def cell_coordinates(v):
 
 @query
 def knn(v):
-    return neighbours.nearest_neighbours(v.vectors, TWIN_K)
+    return neighbours.nearest_neighbours(v.vectors, EMBED.k)
 
 
 @query
 def shared_neighbours(v):
-    near = neighbours.nearest_neighbours(v.vectors, TWIN_K)
-    return neighbours.shared_neighbours(near, TWIN_K, EMBED.prune)
+    near = neighbours.nearest_neighbours(v.vectors, EMBED.k)
+    return neighbours.shared_neighbours(near, EMBED.k, EMBED.prune)
 
 
 @query
 def clusters(v):
     near = neighbours.nearest_neighbours(v.vectors, EMBED.k)
     edges = neighbours.shared_neighbours(near, EMBED.k, EMBED.prune)
-    return cluster.clusters(edges, v.vectors, EMBED.resolution, EMBED.seed, levels=2, rounds=4)
+    return cluster.clusters(edges, v.vectors, EMBED.resolution, EMBED.seed)
+
+
+@query
+def cluster_local_optimum(v):
+    """Per sample: nodes, and those that would gain by moving from the labelling found; there is none."""
+    near = neighbours.nearest_neighbours(v.vectors, EMBED.k)
+    edges = checkpoint(neighbours.shared_neighbours(near, EMBED.k, EMBED.prune))
+    adj, found = cluster.labels(edges, v.vectors, EMBED.resolution, EMBED.seed)
+    gain = cluster.move_gains(adj, found, EMBED.resolution).groupBy(SAMPLE, "u").agg(F.max("gain").alias("gain"))
+    size = found.join(gain, [SAMPLE, "u"], "left").groupBy(SAMPLE)
+    return size.agg(F.count("*").alias("nodes"), F.count_if(F.col("gain") > 0).alias("gaining"))
 
 
 @query

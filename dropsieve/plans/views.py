@@ -32,8 +32,6 @@ ATAC = AtacParams(
     min_count=10, max_count=20, min_features=12, min_tss=1, max_nucleosome=0.6, max_blacklist=0.05
 )
 EMBED = EmbedParams()
-# The SQL twins of knn and shared_neighbours are written for lists of ten.
-TWIN_K = 10
 GENOME_END = 2_600_000
 
 
@@ -241,6 +239,24 @@ class Views:
         at = _grid(5000, 20_000)
         return self._chroms().withColumn("pos", at)
 
+    @cached_property
+    def sample_peaks(self) -> DataFrame:
+        """Peaks of each sample's own: shifted by its number, one over nearly the whole chromosome."""
+        number = F.substring(F.col(SAMPLE), 2, 9).cast("bigint")
+        own = self._chroms().crossJoin(self.spark.range(4).select(F.concat(F.lit("S"), "id").alias(SAMPLE)))
+        spans = F.transform(
+            F.sequence(F.lit(0), F.lit(GENOME_END - 1), F.lit(10_000)),
+            lambda x: F.struct((x + 1500 * number).alias("start"), (x + 1500 * number + 2000).alias("end")),
+        )
+        long = F.array(F.struct((100_000 + number).alias("start"), F.lit(30_100_000).cast("bigint").alias("end")))
+        return own.select(SAMPLE, "chrom", F.inline(F.concat(spans, long)))
+
+    @cached_property
+    def tss_stranded(self) -> DataFrame:
+        """Start sites closer together than their windows, on both strands."""
+        at = self._chroms().withColumn("pos", _grid(5000, 700))
+        return at.withColumn("strand", F.when(F.floor(F.col("pos") / 700) % 3 == 0, "-").otherwise("+"))
+
     @cached_property
     def peak_triplets(self) -> DataFrame:
         return atac.peak_counts(self.fragments, self.peaks)

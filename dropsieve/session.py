@@ -86,3 +86,27 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+class Scratch:
+    """Tables of one run of an iteration, written to the shared folder and read again.
+
+    A checkpoint keeps the size that was estimated for its plan, and every join multiplies sizes: after
+    some rounds the numbers alone take minutes. A written table has the size of its files.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        path = f"{self.folder}/{self.n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, but: int = 0) -> None:
+        """Deletes the tables but the last ``but``."""
+        sc = self.spark.sparkContext
+        for i in range(1, self.n + 1 - but):
+            at = sc._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{i}")
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)

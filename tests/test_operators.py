@@ -24,6 +24,8 @@ from dropsieve.operators import (
     qc,
     synthetic,
 )
+from dropsieve.operators import intervals
+from dropsieve.session import Scratch
 from dropsieve.operators.intervals import binned_overlap
 from dropsieve.operators.ranks import distributed_rank
 from dropsieve.params import AtacParams, EmbedParams, QCParams
@@ -278,7 +280,7 @@ def test_shares_sum_to_one_hundred(spark):
 # Intervals
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
+@pytest.mark.parametrize("limit", [0, 10_000_000])
 @pytest.mark.parametrize("width", [7, 50])
 def test_binned_overlap_equals_the_plain_predicate(spark, limit, width):
     rnd = random.Random(11)
@@ -290,7 +292,7 @@ def test_binned_overlap_equals_the_plain_predicate(spark, limit, width):
     right = spark.createDataFrame(
         [(i, *s) for i, s in enumerate(spans[60:])], "j int, chrom string, r_start bigint, r_end bigint"
     )
-    got = rows(binned_overlap(left, right, width, salts=4, max_broadcast_rows=limit).select("i", "j"))
+    got = rows(binned_overlap(left, right, width, salts=4, max_broadcast_bytes=limit).select("i", "j"))
     want = sorted(
         (
             (i, j)
@@ -303,6 +305,26 @@ def test_binned_overlap_equals_the_plain_predicate(spark, limit, width):
     assert got == want
 
 
+def test_long_intervals_make_a_handful_of_rows(spark):
+    one = spark.createDataFrame([("a", 5, 30_000_005)], "chrom string, start bigint, end bigint")
+    levels = list(range(intervals.LEVELS))
+    assert intervals._indexed(one, "start", "end", 1000, levels).count() <= 2 * intervals.LEVELS
+    many = spark.range(3000).select(
+        F.lit("a").alias("chrom"), (F.col("id") * 11_000).alias("r_start"), (F.col("id") * 11_000 + F.pow(3.0, F.col("id") % 16)).cast("bigint").alias("r_end")
+    )
+    want = many.where("r_start < 30000005 AND 5 < r_end").count()
+    for limit in (0, 10_000_000):
+        assert binned_overlap(one, many, 1000, salts=3, max_broadcast_bytes=limit).count() == want
+        back = many.withColumnsRenamed({"r_start": "start", "r_end": "end"})
+        assert binned_overlap(back, one.withColumnsRenamed({"start": "r_start", "end": "r_end"}), 1000, 3, limit).count() == want
+
+
+def test_overlap_by_sample(spark):
+    left = spark.createDataFrame([("s", "a", 0, 10), ("t", "a", 0, 10)], "sample_id string, chrom string, start bigint, end bigint")
+    right = spark.createDataFrame([("s", "a", 5, 20), ("u", "a", 5, 20)], "sample_id string, chrom string, r_start bigint, r_end bigint")
+    assert binned_overlap(left, right, 10, by=("sample_id",)).count() == 1
+
+
 def test_touching_intervals_do_not_overlap(spark):
     left = spark.createDataFrame([("a", 0, 10)], "chrom string, start bigint, end bigint")
     right = spark.createDataFrame([("a", 10, 20)], "chrom string, r_start bigint, r_end bigint")
@@ -417,13 +439,53 @@ def two_groups(spark, size=8):
 
 def test_clusters_find_separate_groups_and_modularity_never_falls(spark):
     edges, nodes = two_groups(spark)
-    got = {r.id: r.cluster for r in cluster.clusters(edges, nodes, 0.5, rounds=6).collect()}
+    got = {r.id: r.cluster for r in cluster.clusters(edges, nodes, 0.5).collect()}
     assert len({got[i] for i in range(8)}) == 1 and len({got[i] for i in range(8, 16)}) == 1
     assert got[0] != got[8] and got[16] == 2 and len(got) == 17
-    start = nodes.select("sample_id", F.col("id").alias("u"), F.col("id").alias("c"))
-    _, history = cluster.local_moves(cluster.adjacency(edges), start, 0.5, 7, 5)
-    q = [h["s"] for h in history]
-    assert all(b >= a for a, b in zip(q, q[1:]))
+    scratch = Scratch(spark, "test")
+    adj = scratch.keep(cluster.adjacency(edges))
+    now, q = scratch.keep(cluster._nodes(adj, nodes)), [-1.0]
+    for salt in range(20):
+        q.append(cluster.modularity(adj, now, 0.5).first().q)
+        assert q[-1] > q[-2]
+        if (now := cluster.moved(adj, now, 0.5, salt, scratch)) is None:
+            break
+    assert now is None
+
+
+def plain_gains(edges, label, resolution):
+    """Modularity of a labelling, and the best change by one node's move or one merge, by definition."""
+    k, links = {}, {}
+    for a, b, w in edges:
+        for x, y in ((a, b), (b, a)):
+            k[x] = k.get(x, 0) + w
+            links[x, y] = links.get((x, y), 0) + w
+    m2 = sum(k.values())
+
+    def quality(lab):
+        return sum(
+            (links.get((x, y), 0) - resolution * k[x] * k[y] / m2) / m2 for x in k for y in k if lab[x] == lab[y]
+        )
+
+    now = quality(label)
+    tries = [{**label, x: label[y]} for x, y in links if label[x] != label[y]]
+    tries += [{x: d if c == b else c for x, c in label.items()} for b in {*label.values()} for d in {*label.values()} if b != d]
+    return now, max([quality(t) - now for t in tries], default=0.0)
+
+
+def test_clusters_are_a_local_optimum(spark):
+    rng = np.random.default_rng(4)
+    chain = [(i, i + 1, 1.0) for i in range(47)]
+    random = [(int(a), int(b), float(w)) for a, b, w in zip(*rng.integers(0, 40, (2, 160)), rng.uniform(0.1, 1, 160)) if a < b]
+    for edges, resolution, least in ((chain, 0.2, 0.706), (random, 1.0, 0.0)):
+        df = spark.createDataFrame([("s", *e) for e in edges], "sample_id string, src1 bigint, src2 bigint, weight double")
+        nodes = spark.range(48).select(F.lit("s").alias("sample_id"), "id")
+        _, found = cluster.labels(df, nodes, resolution, 1000)
+        label = {r.u: r.c for r in found.collect()}
+        assert len(label) == 48
+        q, gain = plain_gains(edges, label, resolution)
+        assert gain <= 1e-9 and q >= least
+        assert abs(cluster.modularity(cluster.adjacency(df), found, resolution).first().q - q) < 1e-9
 
 
 def test_scaling_is_the_dense_z_score(spark):
