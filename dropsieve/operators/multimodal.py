@@ -115,3 +115,10 @@ def rename_right(right_counts: DataFrame, pairs: DataFrame) -> DataFrame:
 def restrict_left(cells: DataFrame, pairs: DataFrame) -> DataFrame:
     """Left cells that have a partner."""
     return cells.join(pairs.select(*CELL), CELL, "left_semi")
+
+
+def restrict_right(right: DataFrame, cells: DataFrame) -> DataFrame:
+    """Right cells whose cleaned barcode one of the left ``cells`` has."""
+    clean = clean_barcode(F.col("barcode")).alias("bc_clean")
+    kept = cells.select(SAMPLE, clean)
+    return right.withColumn("bc_clean", clean_barcode(F.col("barcode"))).join(kept, [SAMPLE, "bc_clean"], "left_semi").drop("bc_clean")

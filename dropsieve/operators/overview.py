@@ -37,6 +37,8 @@ def sample_overview(cells: DataFrame, kept: DataFrame) -> DataFrame:
         F.count("*").alias("total_cells"),
         F.median("n_count").alias("median_umi"),
         F.median("n_feature").alias("median_features"),
+        F.avg("n_count").alias("mean_umi"),
+        F.avg("n_feature").alias("mean_features"),
         F.avg("pct_mt").alias("mean_mt_pct"),
         F.avg("pct_rb").alias("mean_rb_pct"),
     ]

@@ -75,7 +75,8 @@ VIEWS["cells"] = """
     FROM attached"""
 VIEWS["overview"] = """
     SELECT c.sample_id, count(*) AS total_cells, median(n_count) AS median_umi,
-        median(n_feature) AS median_features, avg(pct_mt) AS mean_mt_pct, avg(pct_rb) AS mean_rb_pct,
+        median(n_feature) AS median_features, avg(n_count) AS mean_umi, avg(n_feature) AS mean_features,
+        avg(pct_mt) AS mean_mt_pct, avg(pct_rb) AS mean_rb_pct,
         avg(nuclear_fraction) AS mean_nuclear_fraction,
         1e2 * avg(CASE WHEN doublet_class = 'doublet' THEN 1 WHEN doublet_class IS NOT NULL THEN 0 END)
             AS doublet_rate_pct,
@@ -210,6 +211,7 @@ VIEWS["members"] = "SELECT sample_id, src, dst FROM near UNION ALL SELECT sample
 
 STATEMENTS["sample_overview"] = """
     SELECT sample_id, total_cells, ROUND(median_umi, 6) AS median_umi, ROUND(median_features, 6) AS median_features,
+        ROUND(mean_umi, 6) AS mean_umi, ROUND(mean_features, 6) AS mean_features,
         ROUND(mean_mt_pct, 6) AS mean_mt_pct, ROUND(mean_rb_pct, 6) AS mean_rb_pct,
         ROUND(mean_nuclear_fraction, 6) AS mean_nuclear_fraction, ROUND(doublet_rate_pct, 6) AS doublet_rate_pct,
         cells_post, ROUND(pct_retained, 6) AS pct_retained, total_features
@@ -612,6 +614,19 @@ STATEMENTS["tss_enrichment_stranded"] = """
         CASE WHEN flank > 0 THEN flank / 200e0 ELSE avg(flank / 200e0) OVER (PARTITION BY sample_id) END, 0), 6)
             AS tss_enrichment
     FROM stranded_cells"""
+STATEMENTS["pre_post_clusters"] = """
+    SELECT sample_id, cells_pre, cells_post, cells_pre AS clustered_pre, 0::BIGINT AS gaining_pre,
+        cells_post AS clustered_post, 0::BIGINT AS gaining_post
+    FROM kept_share"""
+# The chromatin views once more, over the paired fragments.
+_PAIRED = ("peak_triplets", "peak_totals", "fragment_totals", "nucleosome", "blacklist_share", "insertions", "tss_hits",
+           "tss_cells", "tss_scores", "chromatin", "chromatin_flags")
+for _name in _PAIRED:
+    VIEWS["paired_" + _name] = re.sub(rf"\b({'|'.join((*_PAIRED, 'fragments'))})\b", r"paired_\1", VIEWS[_name])
+VIEWS["post_chromatin"] = """
+    SELECT * FROM paired_chromatin_flags f SEMI JOIN (SELECT * FROM cells WHERE keep) c
+        ON f.sample_id = c.sample_id AND split_part(f.barcode, '-', 1) = split_part(c.barcode, '-', 1)"""
+STATEMENTS["atac_pass_post_qc"] = STATEMENTS["atac_pass"].replace("chromatin_flags", "post_chromatin")
 STATEMENTS["cluster_local_optimum"] = "SELECT sample_id, count(*) AS nodes, 0::BIGINT AS gaining FROM vectors GROUP BY ALL"
 STATEMENTS["cluster_counts"] = "SELECT sample_id, count(DISTINCT label) AS n_clusters FROM vectors GROUP BY ALL"
 

@@ -247,6 +247,27 @@ def pre_post_report(v):
     return qc.pre_post_report(v.stored_cells, n)
 
 
+@query
+def pre_post_clusters(v):
+    """Cells of both sides, those with a cluster, and those that would gain by another; there is none."""
+    out = v.stored_cells.groupBy(SAMPLE).agg(F.count("*").alias("cells_pre"), F.count_if("keep").alias("cells_post"))
+    for side, (adj, found) in runs.both_sides(v.stored_kept, v.stored_cells, EMBED).items():
+        gain = cluster.move_gains(adj, found, EMBED.resolution).groupBy(SAMPLE, "u").agg(F.max("gain").alias("gain"))
+        per = found.join(gain, [SAMPLE, "u"], "left").groupBy(SAMPLE).agg(
+            F.count("c").alias(f"clustered_{side}"), F.count_if(F.col("gain") > 0).alias(f"gaining_{side}")
+        )
+        out = out.join(per, SAMPLE, "left")
+    return out.na.fill(0)
+
+
+@query
+def pre_post_report_clusters(v):
+    """The pre/post table with the number of clusters of each side."""
+    n = cells.kept_features(v.counts, QC).groupBy(SAMPLE).agg(F.count("*").alias("n_features"))
+    sides = runs.both_sides(v.stored_kept, v.stored_cells, EMBED)
+    return qc.pre_post_report(v.stored_cells, n, runs.cluster_numbers(sides))
+
+
 # Called droplets
 
 
@@ -485,6 +506,13 @@ def atac_pass(v):
     return atac.pass_summary(atac.pass_flags(v.chromatin_cells, ATAC))
 
 
+@query
+def atac_pass_post_qc(v):
+    """Pass counts of the chromatin side over the cells that the expression side keeps."""
+    report = runs.chromatin_report(v.paired_fragments, v.peaks, v.blacklist, v.tss, ATAC)
+    return atac.pass_summary(multimodal.restrict_right(report, v.stored_cells.where("keep")))
+
+
 @query
 def atac_metric_summary(v):
     return overview.metric_summary(v.stored_chromatin, atac.ATAC_METRICS)

@@ -5,9 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from dropsieve.operators import annotate, atac, cells, multimodal, overview, qc
-from dropsieve.params import AtacParams, QCParams
+from dropsieve.functions.scalars import CELL, SAMPLE
+from dropsieve.operators import annotate, atac, cells, cluster, embed, multimodal, neighbours, overview, qc
+from dropsieve.params import AtacParams, EmbedParams, QCParams
+from dropsieve.session import checkpoint
 from dropsieve.sources import resolve
 
 
@@ -76,3 +79,31 @@ def chromatin_report(
     triplets = atac.peak_counts(fragments, peaks)
     bad = atac.blacklisted_peaks(peaks, blacklist)
     return atac.pass_flags(atac.chromatin_cells(fragments, triplets, bad, tss, p), p)
+
+
+def cell_graph(counts: DataFrame, table: DataFrame, p: EmbedParams) -> tuple[DataFrame, DataFrame]:
+    """Adjacency of the cells of ``table`` and their labels at a local optimum.
+
+    The whole chain on real cells: normalise, choose features, scale, components, neighbours, shared
+    neighbours, clusters. ``counts`` are the triplets of these cells.
+    """
+    at = checkpoint(embed.pca(counts, table, p))
+    near = neighbours.nearest_neighbours(at, p.k, "barcode", "pca")
+    edges = neighbours.shared_neighbours(near, p.k, p.prune)
+    return cluster.labels(edges, at.select(SAMPLE, F.col("barcode").alias("id")), p.resolution, p.seed)
+
+
+def both_sides(counts: DataFrame, table: DataFrame, p: EmbedParams) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """``cell_graph`` of all cells, and again of those that QC keeps, for which everything is computed anew."""
+    kept = table.where("keep")
+    after = checkpoint(counts.join(kept.select(*CELL), CELL, "left_semi"))
+    return {"pre": cell_graph(counts, table, p), "post": cell_graph(after, kept, p)}
+
+
+def cluster_numbers(sides: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``n_clusters_pre`` and ``n_clusters_post`` per sample; 0 where no cell is left."""
+    per = [
+        found.groupBy(SAMPLE).agg(F.count_distinct("c").alias(f"n_clusters_{side}"))
+        for side, (_, found) in sides.items()
+    ]
+    return per[0].join(per[1], SAMPLE, "left").na.fill(0)
