@@ -205,7 +205,7 @@ def _codec(path: str) -> tuple[PieceIds, Decoder]:
     key = "bpe", path
     if key not in kept():
         ranks = read_ranks(path)
-        kept()[key] = PieceIds(Encoder(ranks).encode_many), Decoder(ranks)
+        kept()[key] = PieceIds(Encoder(ranks).encode_many, room=500_000), Decoder(ranks)
     return kept()[key]
 
 
