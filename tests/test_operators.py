@@ -319,6 +319,32 @@ def test_long_intervals_make_a_handful_of_rows(spark):
         assert binned_overlap(back, one.withColumnsRenamed({"start": "r_start", "end": "r_end"}), 1000, 3, limit).count() == want
 
 
+def test_steps_are_disjoint_and_count_windows(spark):
+    spans = [("a", 0, 10, "x"), ("a", 5, 12, "x"), ("a", 5, 7, "y"), ("a", 12, 20, "y"), ("b", 3, 4, "x")]
+    df = spark.createDataFrame(spans, "chrom string, r_start bigint, r_end bigint, kind string")
+    got = {(r.chrom, p): (r.x, r.y) for r in intervals.steps(df, ("x", "y")).collect() for p in range(r.r_start, r.r_end)}
+    want = {}
+    for c, s, e, k in spans:
+        for p in range(s, e):
+            x, y = want.get((c, p), (0, 0))
+            want[c, p] = (x + (k == "x"), y + (k == "y"))
+    assert got == want
+
+
+def test_tss_offsets_are_mirrored_on_the_other_strand(spark):
+    p = AtacParams()
+    ends = [4499, 4500, 5499, 5500, 5501, 5502, 4000, 4100, 5900, 6000]
+    frag = spark.createDataFrame(
+        [("s", f"b{e}", "c", e, 10**6) for e in ends], "sample_id string, barcode string, chrom string, start bigint, end bigint"
+    )
+    for strand, way in (("+", 1), ("-", -1)):
+        tss = spark.createDataFrame([("c", 5000, strand), ("c", 5000, strand)], "chrom string, pos bigint, strand string")
+        got = {r.barcode: (r.flank, r.centre) for r in atac.tss_enrichment(frag, tss, p).collect()}
+        for e in ends:
+            off = way * (e - 5000)
+            assert got[f"b{e}"] == (2 * (off < -900 or off > 900), 2 * (-501 <= off <= 499))
+
+
 def test_overlap_by_sample(spark):
     left = spark.createDataFrame([("s", "a", 0, 10), ("t", "a", 0, 10)], "sample_id string, chrom string, start bigint, end bigint")
     right = spark.createDataFrame([("s", "a", 5, 20), ("u", "a", 5, 20)], "sample_id string, chrom string, r_start bigint, r_end bigint")
@@ -429,6 +455,48 @@ def test_shared_neighbours_equal_brute_force(spark):
         assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
+def test_balls_skip_far_blocks_and_lose_nothing(spark):
+    rng = np.random.default_rng(1)
+    centre = rng.normal(size=(5, 4)) * 50
+    vec = centre[rng.integers(0, 5, 400)] + rng.normal(size=(400, 4))
+    df = spark.createDataFrame(
+        [("s", i, [float(x) for x in v]) for i, v in enumerate(vec)] + [("t", 1000, [0.0] * 4)],
+        "sample_id string, id bigint, vec array<double>",
+    )
+    blocks = neighbours.ball_blocks(df, block_rows=24)
+    sizes = [r["count"] for r in blocks.where("sample_id = 's'").groupBy("ball", "part").count().collect()]
+    assert sum(sizes) == 400 and max(sizes) < 4 * 24
+    pairs = neighbours.block_pairs(blocks, neighbours._within(blocks, 5, "bigint"), 5).count()
+    assert pairs < 0.7 * len(sizes) * (len(sizes) - 1) / 2
+    got = neighbours.nearest_neighbours(df, 5, block_rows=24).orderBy("src", "rank").collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.src, []).append(r.dst)
+    assert [by[i] for i in range(400)] == brute_neighbours(vec, 5) and 1000 not in by
+
+
+def test_approximate_neighbours_recall(spark):
+    rng = np.random.default_rng(2)
+    vec = rng.normal(size=(8, 6))[rng.integers(0, 8, 600)] * 4 + rng.normal(size=(600, 6))
+    vec[:200] = vec[0]  # a bucket of very many rows
+    df = spark.createDataFrame(
+        [("s", i, [float(x) for x in v]) for i, v in enumerate(vec)], "sample_id string, id bigint, vec array<double>"
+    )
+    want = {(i, j) for i, js in enumerate(brute_neighbours(vec, 5)) for j in js}
+    got = neighbours.approximate_neighbours(df, 5, bucket_rows=16).collect()
+    assert all(r.src != r.dst for r in got) and len({(r.src, r.dst) for r in got}) == len(got)
+    assert len(want & {(r.src, r.dst) for r in got}) >= 0.9 * len(want)
+
+
+def test_hub_parts_change_nothing(spark):
+    rows = [("s", i, j) for i in range(1, 80) for j in (0, i % 7 + 100)] + [("s", 0, 1), ("s", 0, 2)]
+    knn = spark.createDataFrame(rows, "sample_id string, src bigint, dst bigint")
+    one, many = (
+        sorted(map(tuple, neighbours.shared_neighbours(knn, 2, 0.2, hub_rows=n).collect())) for n in (10_000, 6)
+    )
+    assert one == many and len(one) > 1000
+
+
 def two_groups(spark, size=8):
     pairs = [(a + o, b + o) for o in (0, size) for a in range(size) for b in range(a + 1, size)] + [(0, size)]
     edges = spark.createDataFrame([("s", a, b, 1.0) for a, b in pairs],
