@@ -577,6 +577,7 @@ STATEMENTS["denoised_cells"] = """
         FROM called_kept JOIN part ON feature_id = p_partkey GROUP BY sample_id, barcode)"""
 STATEMENTS["stored_qc_tables"] = "SELECT sample_id, cells_pre, cells_post FROM kept_share"
 STATEMENTS["stored_metric_csv"] = STATEMENTS["doublet_summary"]
+STATEMENTS["republished_doublets"] = STATEMENTS["doublet_summary"]
 STATEMENTS["mixed_metric_csv"] = STATEMENTS["doublet_summary"]
 STATEMENTS["stored_modalities"] = """
     SELECT sample_id, 'Peaks' AS modality, count(*) AS entries, CAST(sum(n) AS BIGINT) AS n

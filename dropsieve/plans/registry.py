@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from dropsieve.operators import (
 from dropsieve.plans import runs
 from dropsieve.plans.views import ATAC, EMBED, QC, Views
 from dropsieve.session import checkpoint, configure, shared_dir
-from dropsieve.sources import readers, sinks
+from dropsieve.sources import published, readers, sinks
 
 DIGITS = 6
 _ALL: dict[str, Callable[[Views], DataFrame]] = {}
@@ -140,6 +141,23 @@ def mixed_metric_csv(v):
     return doublets.doublet_summary(readers.read_metric_csv(v.spark, path))
 
 
+@query
+def republished_doublets(v):
+    """Three writes to one place: all samples, some of them anew, and one that fails halfway."""
+    path = _fresh(v, "published")
+    right = v.doublet_metrics.drop("ord")
+    wrong = right.withColumn("doublet_score", F.lit(9.0))
+    turned = F.pmod(F.crc32(F.col(SAMPLE).cast("binary")), F.lit(2)) == 0
+    published.publish(right.where(~turned).unionByName(wrong.where(turned)), path)
+    published.publish(right.where(turned), path)
+    broken = F.when(F.col("cell_barcode").endswith("9-1"), F.raise_error(F.lit("on purpose")).cast("double"))
+    try:
+        published.publish(wrong.withColumn("doublet_score", broken.otherwise(F.col("doublet_score"))), path)
+    except PySparkException:
+        return doublets.doublet_summary(published.read_published(v.spark, path))
+    raise RuntimeError("the third write was to fail")
+
+
 @query
 def stored_modalities(v):
     path = _fresh(v, "counts")

@@ -4,12 +4,12 @@ import gzip
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from dropsieve.operators import multimodal
 from dropsieve.params import QCParams
-from dropsieve.sources import readers, resolve, sinks
+from dropsieve.sources import published, readers, resolve, sinks
 
 
 def rows(df):
@@ -163,3 +163,28 @@ def test_modalities_are_written_apart(spark, tmp_path):
 def test_summary_rows(spark):
     df = spark.createDataFrame([("a", 1, 2.5)], "sample_id string, x int, y double")
     assert rows(sinks.to_metric_rows(df)) == [("a", "x", 1.0), ("a", "y", 2.5)]
+
+
+def test_a_failed_write_leaves_what_was_published(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    one = spark.createDataFrame([("007", "x", 1), ("7", "y", 2), ("b", "z", 3)], "sample_id string, barcode string, n int")
+    first = published.publish(one, path)
+    second = published.publish(one.where("sample_id = 'b'").withColumn("n", F.lit(30)), path)
+    want = [("007", "x", 1), ("7", "y", 2), ("b", "z", 30)]
+    read = lambda: rows(published.read_published(spark, path).select("sample_id", "barcode", "n"))
+    assert read() == want
+    bad = F.when(F.col("barcode") == "z", F.raise_error(F.lit("stop")).cast("int")).otherwise(F.lit(99))
+    with pytest.raises(PySparkException):
+        published.publish(one.repartition(3, "barcode").withColumn("n", bad), path)
+    with pytest.raises(PySparkException, match="without a sample"):
+        published.publish(one.withColumn("sample_id", F.lit(None).cast("string")), path)
+    assert read() == want
+    # Written to the end, but without a commit.
+    one.withColumn("n", F.lit(5)).write.partitionBy("sample_id").parquet(f"{path}/runs/run=zz")
+    assert read() == want
+    assert "zz" in published.drop_superseded(spark, path) and read() == want
+    third = published.publish(one.where("sample_id <> 'b'"), path)
+    assert first in published.drop_superseded(spark, path) and read() == want
+    assert {r.run for r in published.current_runs(spark, path).collect()} == {second, third}
+    published.publish(one.limit(0), path)
+    assert read() == want
