@@ -15,8 +15,9 @@ from dropsieve.operators import normalise
 from dropsieve.params import EmbedParams
 from dropsieve.session import checkpoint
 
-# Cells whose products one task sums.
+# Cells whose products one task sums, in a sample with few; in a large one the chunks grow instead.
 CHUNK_CELLS = 8_192
+MOST_CHUNKS = 16
 
 
 def _indexed(entries: DataFrame, background: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -29,26 +30,45 @@ def _indexed(entries: DataFrame, background: DataFrame) -> tuple[DataFrame, Data
     return shifted.withColumn("s", F.col("z") - F.col("z0")), axis
 
 
-def _partial_products(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sum over a chunk of cells of the outer product of their sparse rows."""
-    size = int(pdf["n_g"].iloc[0])
-    total = np.zeros((size, size))
-    plain = np.zeros(size)
-    for at in range(0, len(pdf), 1024):
-        part = pdf.iloc[at : at + 1024]
-        dense = np.zeros((len(part), size))
-        cell = np.repeat(np.arange(len(part)), part["gs"].map(len))
-        dense[cell, np.concatenate(part["gs"].to_list())] = np.concatenate(part["ss"].to_list())
-        total += dense.T @ dense
-        plain += dense.sum(axis=0)
-    return pd.DataFrame(
-        {
-            SAMPLE: pdf[SAMPLE].iloc[0],
-            "g": np.arange(size, dtype="int32"),
-            "s_sum": plain,
-            "products": list(total),
-        }
-    )
+def _add_products(part: pd.DataFrame, total: np.ndarray, plain: np.ndarray) -> None:
+    """Adds the outer products of sparse rows to ``total``, by pairs of entries or, if dense, as a product."""
+    size = np.array([len(x) for x in part["gs"]])
+    g, s = np.concatenate(part["gs"].to_list()), np.concatenate(part["ss"].to_list())
+    plain += np.bincount(g, s, len(plain))
+    if 16 * int((size * size).sum()) < len(part) * len(plain):
+        begin = np.repeat(np.cumsum(size) - size, size)
+        pairs = np.repeat(size, size)
+        one = np.repeat(np.arange(len(g)), pairs)
+        other = np.arange(len(one)) - np.repeat(np.cumsum(pairs) - pairs - begin, pairs)
+        np.add.at(total, (g[one], g[other]), s[one] * s[other])
+        return
+    dense = np.zeros((len(part), len(plain)))
+    dense[np.repeat(np.arange(len(part)), size), g] = s
+    total += dense.T @ dense
+
+
+def _partial_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums over each chunk of cells of the outer products of their sparse rows, in sorted batches."""
+    key, total, plain = None, None, None
+
+    def done() -> Iterator[pd.DataFrame]:
+        for at in range(0, len(plain), 256):
+            rows = range(at, min(at + 256, len(plain)))
+            yield pd.DataFrame(
+                {SAMPLE: key[0], "g": np.array(rows, "int32"), "s_sum": plain[at : at + 256], "products": [total[i] for i in rows]}
+            )
+
+    for pdf in batches:
+        for now, part in pdf.groupby([SAMPLE, "chunk"]):
+            if now != key:
+                if key is not None:
+                    yield from done()
+                size = int(part["n_g"].iloc[0])
+                key, total, plain = now, np.zeros((size, size)), np.zeros(size)
+            for at in range(0, len(part), 1024):
+                _add_products(part.iloc[at : at + 1024], total, plain)
+    if key is not None:
+        yield from done()
 
 
 def _add_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,8 +94,8 @@ def principal_axes(entries: DataFrame, background: DataFrame, p: EmbedParams) ->
 
     With ``z = z0 + s``, where ``s`` is zero for absent entries, the matrix of
     products follows from the sums of ``s`` and of its outer products. Chunks
-    of cells sum these in parallel, and the sums of a feature are added up as a
-    sorted stream, so a sample may have any number of cells. Only the final
+    of cells sum these in parallel as streams, and the sums of a feature are added
+    up as another, so a sample may have any number of cells. Only the final
     step needs a sample's whole feature-by-feature matrix.
     """
     shifted, axis = _indexed(entries, background)
@@ -83,15 +103,20 @@ def principal_axes(entries: DataFrame, background: DataFrame, p: EmbedParams) ->
         F.collect_list(F.struct("g", "s")).alias("row"), F.first("n_g").alias("n_g")
     )
     sizes = axis.groupBy(SAMPLE).agg(F.first("n_all").alias("n_all"))
-    chunks = F.ceil(F.col("n_all") / CHUNK_CELLS)
+    n = F.col("n_all")
+    chunks = F.least(F.ceil(n / CHUNK_CELLS), MOST_CHUNKS + F.ceil(n / (128 * CHUNK_CELLS)))
+    # A number of its own for each: what is small to shuffle is not small to compute, and would be coalesced.
+    dealt = sizes.agg(F.count("*"), F.sum(chunks)).first()
+    n_samples, n_chunks = (min(max(int(x or 0), 1), 2000) for x in dealt)
     chunked = rows.join(sized(sizes), SAMPLE).withColumn(
         "chunk", F.pmod(F.xxhash64(*CELL), chunks).cast("bigint")
     )
     schema = f"{SAMPLE} string, g int, s_sum double, products array<double>"
     partial = (
         chunked.select(SAMPLE, "chunk", "n_g", F.col("row.g").alias("gs"), F.col("row.s").alias("ss"))
-        .groupBy(SAMPLE, "chunk")
-        .applyInPandas(_partial_products, schema)
+        .repartition(2 * n_chunks, SAMPLE, "chunk")
+        .sortWithinPartitions(SAMPLE, "chunk")
+        .mapInPandas(_partial_products, schema)
     )
     summed = (
         partial.repartition(SAMPLE, "g").sortWithinPartitions(SAMPLE, "g").mapInPandas(_add_rows, schema)
@@ -112,7 +137,7 @@ def principal_axes(entries: DataFrame, background: DataFrame, p: EmbedParams) ->
 
     id_type = entries.schema["feature_id"].dataType.simpleString()
     out = f"{SAMPLE} string, feature_id {id_type}, z0 double, loading array<double>"
-    return full.groupBy(SAMPLE).applyInPandas(solve, out)
+    return full.repartition(2 * n_samples, SAMPLE).groupBy(SAMPLE).applyInPandas(solve, out)
 
 
 def project(entries: DataFrame, axes: DataFrame, cells: DataFrame, p: EmbedParams) -> DataFrame:

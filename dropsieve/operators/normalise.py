@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -12,6 +14,7 @@ from dropsieve.functions.scalars import CELL, SAMPLE
 from dropsieve.functions.sizing import fits_broadcast
 from dropsieve.functions.sizing import sized
 from dropsieve.params import EmbedParams
+from dropsieve.session import checkpoint
 
 FEATURE = [SAMPLE, "feature_id"]
 
@@ -46,39 +49,82 @@ def local_trend(x: np.ndarray, y: np.ndarray, span: float, knots: int = 200) ->
 
     Fitted at quantile knots and interpolated linearly between them.
     """
+    return np.interp(x, *trend_knots(x, y, span, knots))
+
+
+def trend_knots(x: np.ndarray, y: np.ndarray, span: float, knots: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """The knots of ``local_trend`` and the values there.
+
+    The nearest points of a knot are neighbours in order, so each fit reads its own window only.
+    """
     n = len(x)
     if n < 4:
-        return np.full(n, y.mean() if n else 0.0)
+        return np.zeros(1), np.full(1, y.mean() if n else 0.0)
     near = min(n, max(4, int(np.ceil(span * n))))
     at = np.unique(np.quantile(x, np.linspace(0, 1, min(knots, n))))
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    ends = x[near:] + x[: n - near]
     fit = np.empty(len(at))
     for i, x0 in enumerate(at):
-        d = np.abs(x - x0)
-        h = np.partition(d, near - 1)[near - 1]
-        w = np.where(d <= h, (1 - (d / h) ** 3) ** 3, 0.0) if h > 0 else (d == 0).astype(float)
+        low = np.searchsorted(ends, 2 * x0)
+        h = max(x0 - x[low], x[low + near - 1] - x0)
+        if h > 0:
+            own = slice(low, low + near)
+            u = (x[own] - x0) / h
+            w = np.abs(u)
+            w = 1 - np.minimum(w * w * w, 1)
+            w = w * w * w
+        else:
+            own = slice(*(np.searchsorted(x, x0, side) for side in ("left", "right")))
+            u, w = np.zeros(own.stop - own.start), np.ones(own.stop - own.start)
+        wu = w * u
+        wuu = wu * u
+        s = [w.sum(), wu.sum(), wuu.sum(), wuu @ u, wuu @ (u * u)]
+        m = np.array([s[0:3], s[1:4], s[2:5]])
+        if np.linalg.cond(m) < 1e10:
+            fit[i] = np.linalg.solve(m, [w @ y[own], wu @ y[own], wuu @ y[own]])[0]
+            continue
+        # Too few different points for a parabola.
+        d = x[own] - x0
         r = np.sqrt(w)
-        basis = np.stack([np.ones(n), x - x0, (x - x0) ** 2], axis=1) * r[:, None]
-        fit[i] = np.linalg.lstsq(basis, y * r, rcond=None)[0][0]
-    return np.interp(x, at, fit)
+        basis = np.stack([np.ones(len(d)), d, d * d], axis=1) * r[:, None]
+        fit[i] = np.linalg.lstsq(basis, y[own] * r, rcond=None)[0][0]
+    return at, fit
 
 
 def expected_variance(moments: DataFrame, p: EmbedParams) -> DataFrame:
     """Adds the variance expected at a feature's mean, ``var_expected``.
 
-    The trend needs one sample's features together; that group is as large as
-    the feature axis, whatever the number of cells.
+    The fit needs the two logarithms of one sample's features together; that group is as large as
+    the feature axis, whatever the number of cells. Its knots, at most 200 a sample, go to all tasks.
+    ``moments`` is read twice and should be a stored table.
     """
     span = p.loess_span
+    usable = (F.col("var") > 0) & (F.col("mean") > 0)
+    points = moments.where(usable).select(SAMPLE, F.log10("mean").alias("x"), F.log10("var").alias("y"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        ok = (pdf["var"] > 0) & (pdf["mean"] > 0)
-        out = np.zeros(len(pdf))
-        x, y = np.log10(pdf.loc[ok, "mean"].to_numpy()), np.log10(pdf.loc[ok, "var"].to_numpy())
-        out[ok.to_numpy()] = 10.0 ** local_trend(x, y, span)
-        return pdf.assign(var_expected=out)
+        at, value = trend_knots(pdf["x"].to_numpy(), pdf["y"].to_numpy(), span)
+        return pd.DataFrame({SAMPLE: [pdf[SAMPLE].iloc[0]], "at": [at], "fit": [value]})
+
+    n_samples = points.select(SAMPLE).distinct().count()
+    dealt = points.repartition(min(max(2 * n_samples, 1), 2000), SAMPLE).groupBy(SAMPLE)
+    found = dealt.applyInPandas(fit, f"{SAMPLE} string, at array<double>, fit array<double>").collect()
+    knots = {r[SAMPLE]: (np.array(r["at"]), np.array(r["fit"])) for r in found}
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = np.zeros(len(pdf))
+            ok = ((pdf["var"] > 0) & (pdf["mean"] > 0)).to_numpy()
+            x = np.log10(pdf["mean"].to_numpy(), where=ok, out=np.zeros(len(pdf)))
+            for sample, rows in pdf.loc[ok].groupby(SAMPLE).indices.items():
+                at = np.flatnonzero(ok)[rows]
+                out[at] = 10.0 ** np.interp(x[at], *knots[sample])
+            yield pdf.assign(var_expected=out)
 
     schema = T.StructType([*moments.schema.fields, T.StructField("var_expected", T.DoubleType())])
-    return moments.groupBy(SAMPLE).applyInPandas(fit, schema)
+    return moments.mapInPandas(apply, schema)
 
 
 def variable_features(counts: DataFrame, cells: DataFrame, p: EmbedParams) -> DataFrame:
@@ -87,7 +133,7 @@ def variable_features(counts: DataFrame, cells: DataFrame, p: EmbedParams) -> Da
     Standardised values are clipped at the square root of the cell count. Cells
     without the feature all have the same value, so they enter by arithmetic.
     """
-    trend = expected_variance(feature_moments(counts, cells, "n"), p)
+    trend = expected_variance(checkpoint(feature_moments(counts, cells, "n")), p)
     sd = F.sqrt("var_expected")
     top = F.sqrt(F.col("n_all").cast("double"))
     z = F.least(F.try_divide(F.col("n") - F.col("mean"), sd), top)
