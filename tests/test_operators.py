@@ -436,6 +436,21 @@ def test_neighbours_equal_brute_force(spark, block):
     assert [by[i] for i in range(90)] == brute_neighbours(vec, 6)
 
 
+def test_copies_are_not_met_pair_by_pair(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vec = np.concatenate([np.zeros((300, 3)), np.ones((40, 3)), rng.normal(size=(60, 3)), np.zeros((20, 3))])
+    df = spark.createDataFrame([("s", i, [float(x) for x in v]) for i, v in enumerate(vec)],
+                               "sample_id string, id bigint, vec array<double>")
+    searched = []
+    search = neighbours._searched
+    monkeypatch.setattr(neighbours, "_searched", lambda rows, *a: searched.append(rows.count()) or search(rows, *a))
+    by = {}
+    for r in sorted(neighbours.nearest_neighbours(df, 4, block_rows=32).collect(), key=lambda r: (r.src, r["rank"])):
+        by.setdefault(r.src, []).append(r.dst)
+    assert [by[i] for i in range(len(vec))] == brute_neighbours(vec, 4)
+    assert searched == [5 + 5 + 60]
+
+
 def test_shared_neighbours_equal_brute_force(spark):
     rng = np.random.default_rng(8)
     lists = {i: [int(x) for x in rng.choice([j for j in range(60) if j != i], 5, replace=False)] for i in range(60)}
