@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dropsieve.functions.quantiles import exact_median, exact_quantiles
 from dropsieve.llm.cache import kept
 from dropsieve.llm.common import arrow_map, drop, fold, mix, parts, stored
 from dropsieve.llm.pieces import LETTER, char_classes, code_points
@@ -233,14 +234,13 @@ def _discount(once: int, twice: int) -> float:
     return min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
 
 
-def fit(rows: DataFrame, calibration_rows: int = 20_000, max_values: int = MAX_VALUES) -> Model:
+def fit(rows: DataFrame, max_values: int = MAX_VALUES) -> Model:
     """A model of every language in ``rows``; all its texts and all their grams are counted.
 
     Counts, discounts and weights are computed in Spark. To the driver go the grams of a model with
     at most ``max_values`` of them times languages; a larger one stays in stored tables. A quarter
-    of the rows is set aside for a second, partial model; on at most ``calibration_rows`` of them, by
-    hash of doc_id, that model shows how sure a margin is and how high the cross-entropy of a
-    language's own texts goes. A text is rejected only well above a high quantile of these among texts
+    of the rows is set aside for a second, partial model; on all of them that model shows how sure a
+    margin is and how high the cross-entropy of a language's own texts goes. A text is rejected only well above a high quantile of these among texts
     of about its length, and above three quarters of the way to what the other languages' texts
     score. Medians and quantiles keep this where some rows have a wrong label. With one language
     none is rejected.
@@ -274,7 +274,7 @@ def fit(rows: DataFrame, calibration_rows: int = 20_000, max_values: int = MAX_V
                 by_context = _by_language(weights, "context", weight, "weight", n_lang, 1.0)
                 m.tables[k] = stored(by_gram, f"shares-{k}"), stored(by_context, f"weights-{k}")
     drop(*orders.values())
-    _calibrate(model, partial, rows, calibration_rows)
+    _calibrate(model, partial, rows)
     for x in partial.tables.values():
         drop(*x)
     return model
@@ -361,52 +361,63 @@ def entropies(model: Model, col: pa.Array, price: Cost) -> tuple[np.ndarray, np.
     return np.concatenate(size), np.concatenate(out)
 
 
-def _calibrate(model: Model, partial: Model, rows: DataFrame, limit: int) -> None:
-    known = rows.where(f"lang IS NOT NULL AND text IS NOT NULL AND {_ASIDE}")
-    ids = known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    sample = known.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("doc_id", "lang", "text")
+def _calibrate(model: Model, partial: Model, rows: DataFrame) -> None:
+    """Thresholds and sharpness from every row set aside; medians and quantiles are exact."""
+    known = rows.where(f"lang IS NOT NULL AND text IS NOT NULL AND {_ASIDE}").select("doc_id", "lang", "text")
+    names = model.languages
 
     def run(m: Model, t: pa.Table, price: Cost) -> pa.Table:
         n, h = entropies(m, t.column("text"), price)
-        h = pa.array(list(h), pa.list_(pa.float64()))
-        return pa.Table.from_arrays([t.column("lang"), pa.array(n), h], ["lang", "n", "h"])
-
-    x = _on_texts(sample, partial, run, "lang string, n long, h array<double>").toPandas()
-    x = x[x["n"] > 0]
-    count = len(model.languages)
-    h = np.stack(x["h"]) if len(x) else np.zeros((0, count))
-    n = x["n"].to_numpy(np.float64)
-    truth = np.searchsorted(model.languages, x["lang"]) if len(x) else np.zeros(0, np.int64)
-    own = h[np.arange(len(h)), truth]
-    band = np.digitize(n, BANDS)
+        truth = np.searchsorted(names, t.column("lang").to_numpy()) if len(n) else np.zeros(0, np.int64)
+        cols = [truth, n, np.digitize(n, BANDS), h[np.arange(len(n)), truth]]
+        cols = [pa.array(c) for c in (*cols, list(h))]
+        cols[-1] = cols[-1].cast(pa.list_(pa.float64()))
+        return pa.Table.from_arrays(cols, ["j", "n", "band", "own", "h"]).filter(pa.array(n > 0))
+
+    x = stored(_on_texts(known, partial, run, "j long, n long, band long, own double, h array<double>"), "entropies")
+    count = len(names)
     model.mean, model.spread = np.zeros(count), np.ones(count)
     model.limit, model.floor = np.full((2, count, len(BANDS) + 1), np.inf)
-    for j in range(count):
-        mine = truth == j
-        if mine.any() and not mine.all():
-            model.mean[j] = np.median(own[mine])
-            foreign = np.median(h[~mine, j])
-            off = (own[mine] - model.mean[j]) * np.sqrt(n[mine])
-            model.spread[j] = max(1.4826 * np.median(np.abs(off)), 1e-3)
+    size = {(r["j"], r["band"]): r["count"] for r in x.groupBy("j", "band").count().collect()}
+    seen = sorted({j for j, _ in size})
+    if len(seen) > 1:
+        model.mean[seen] = [v for _, v in sorted(exact_median(x, ["j"], "own").collect())]
+        each = x.select("j", F.posexplode("h").alias("of", "v")).where("of <> j")
+        foreign = dict(map(tuple, exact_median(each, ["of"], "v").collect()))
+        mean = F.element_at(F.array(*map(F.lit, model.mean.tolist())), F.col("j").cast("int") + 1)
+        off = x.select("j", "band", "own", ((F.col("own") - mean) * F.sqrt("n")).alias("off"))
+        wide = dict(map(tuple, exact_median(off.select("j", F.abs("off").alias("v")), ["j"], "v").collect()))
+        model.spread[seen] = [max(1.4826 * wide[j], 1e-3) for j in seen]
+        every = off.withColumn("band", F.explode(F.array("band", F.lit(-1).cast("long"))))
+        high = {v: _high(every, v) for v in ("off", "own")}
+        for j in seen:
             for b in range(len(BANDS) + 1):
-                near = band[mine] == b
-                if near.sum() < BAND_ROWS:
-                    near[:] = True
-                far, high = _high(off[near]), _high(own[mine][near])
-                model.limit[j, b] = max(1.25 * far / model.spread[j], 4.0)
-                model.floor[j, b] = max(model.mean[j] + 0.75 * (foreign - model.mean[j]), high)
-    best, loss = 1.0, np.inf
-    for sharp in 2.0 ** np.arange(-8, 4):
-        p = _confidence(h, n, sharp)
-        now = -np.mean(np.log(np.maximum(p[np.arange(len(h)), truth], 1e-12))) if len(h) else 0
-        if now < loss:
-            best, loss = sharp, now
-    model.sharpness = float(best)
-
-
-def _high(x: np.ndarray) -> float:
-    """A high quantile that is never the largest of several values."""
-    return float(np.quantile(x, HIGH, method="lower"))
+                near = j, b if size.get((j, b), 0) >= BAND_ROWS else -1
+                model.limit[j, b] = max(1.25 * high["off"][near] / model.spread[j], 4.0)
+                model.floor[j, b] = max(model.mean[j] + 0.75 * (foreign[j] - model.mean[j]), high["own"][near])
+    sharps = 2.0 ** np.arange(-8, 4)
+
+    def loss(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column("h").flatten().to_numpy(zero_copy_only=False).reshape(len(b), count)
+            n, at = b.column("n").to_numpy().astype(np.float64), b.column("j").to_numpy()
+            p = [_confidence(h, n, sharp)[np.arange(len(h)), at] for sharp in sharps]
+            lost = [-np.log(np.maximum(v, 1e-12)).sum() for v in p]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sharps))), pa.array(lost)], ["i", "loss"])
+
+    lost = arrow_map(x.select("j", "n", "h"), loss, "i long, loss double").groupBy("i").agg(F.sum("loss")).collect()
+    # Equal losses go to the least sharpness.
+    model.sharpness = float(sharps[min(lost, key=lambda r: (r[1], r[0]))[0]]) if lost else 1.0
+    drop(x)
+
+
+def _high(rows: DataFrame, value: str) -> dict[tuple[int, int], float]:
+    """A high quantile of ``value`` by ``j`` and ``band``, a value that occurs and never the largest of several."""
+    q = exact_quantiles(rows, ["j", "band"], value, [HIGH]).select("j", "band", F.col("q")[0].alias("q"))
+    # The quantile lies between two values, of which the lower counts.
+    upto = F.col(value) <= F.col("q") + F.abs("q") * 1e-14
+    low = rows.join(F.broadcast(q), ["j", "band"]).where(upto).groupBy("j", "band").agg(F.max(value))
+    return {(r[0], r[1]): r[2] for r in low.collect()}
 
 
 def _confidence(h: np.ndarray, n: np.ndarray, sharpness: float) -> np.ndarray:

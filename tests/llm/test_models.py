@@ -118,6 +118,28 @@ def test_language_model_keeps_every_gram_in_arrays_and_in_tables(spark):
     assert kept[0] == kept[1] and langid.accepted(more, large).columns == more.columns
 
 
+def test_language_is_calibrated_on_every_row_set_aside(spark, monkeypatch):
+    from tests.llm.conftest import made
+
+    rng = random.Random(4)
+    letters = ("abcde", "mnopq")
+    rows = [(i, " ".join(rng.choice(letters[i % 2]) * 2 for _ in range(1, 3)), ("xx", "yy")[i % 2]) for i in range(90_000)]
+    read, stored = [], langid.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        if name == "entropies":
+            read.append(out.count())
+        return out
+
+    monkeypatch.setattr(langid, "stored", counted)
+    docs = made(spark, rows).repartition(8)
+    model = langid.fit(docs)
+    aside = docs.where(langid._ASIDE).count()
+    assert aside > 20_000 and read == [aside]
+    assert (model.limit < np.inf).all() and (model.spread > 0).all()
+
+
 def test_foreign_text_is_rejected(spark):
     from tests.llm.conftest import made
 
