@@ -50,15 +50,15 @@ def modularity(adj: DataFrame, labels: DataFrame, resolution: float) -> DataFram
 
 
 def _nodes(adj: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Every node alone in its cluster, with its weight ``k`` and the weight ``m2`` of its sample."""
+    """Every node with its weight ``k`` and the weight ``m2`` of its sample, alone or in its cluster ``c`` if given."""
     own = adj.groupBy(SAMPLE, "u").agg(F.sum("a").alias("k"))
     total = own.groupBy(SAMPLE).agg(F.sum("k").alias("m2"))
     k = F.coalesce("k", F.lit(0.0))
     return (
-        nodes.select(SAMPLE, F.col("id").alias("u"))
+        nodes.select(SAMPLE, F.col("id").alias("u"), F.col("c" if "c" in nodes.columns else "id").alias("c"))
         .join(own, [SAMPLE, "u"], "left")
         .join(F.broadcast(total) if fits_broadcast(total) else total, SAMPLE, "left")
-        .select(SAMPLE, "u", F.col("u").alias("c"), k.alias("k"), F.coalesce("m2", F.lit(0.0)).alias("m2"))
+        .select(SAMPLE, "u", "c", k.alias("k"), F.coalesce("m2", F.lit(0.0)).alias("m2"))
     )
 
 
@@ -163,15 +163,16 @@ def labels(edges: DataFrame, nodes: DataFrame, resolution: float, seed: int) ->
 
     Clusters merge round by round until no merge gains, then nodes move until no move gains; both are
     repeated until neither finds anything. So at the end neither moving a node to a neighbouring
-    cluster nor merging two clusters raises modularity.
+    cluster nor merging two clusters raises modularity. The search starts from the clusters ``c`` of
+    ``nodes``, if given.
     """
     scratch, out = Scratch(edges.sparkSession, "rounds"), Scratch(edges.sparkSession, "clusters")
     adj = out.keep(adjacency(edges))
     best = scratch.keep(_nodes(adj, nodes))
-    graph, parts = adj, best
+    merged = "c" in nodes.columns
+    graph, parts = _contracted(adj, best, scratch) if merged else (adj, best)
     salt = seed
     while True:
-        merged = False
         while (now := moved(graph, parts, resolution, salt, scratch)) is not None:
             salt, merged = salt + 1, True
             to = now.select(SAMPLE, F.col("u").alias("c"), F.col("c").alias("to"))
@@ -185,6 +186,83 @@ def labels(edges: DataFrame, nodes: DataFrame, resolution: float, seed: int) ->
             scratch.clear()
             return adj, best
         graph, parts = _contracted(adj, best, scratch)
+        merged = False
+
+
+def _links(pairs: DataFrame, units: DataFrame) -> DataFrame:
+    """All links between units of classes, summed, from ``pairs`` of classes; those inside a unit link it to itself."""
+    one, other = (
+        units.select(SAMPLE, F.col("cls").alias(f"src{i}"), F.col("u").alias(f"u{i}"), F.col("m").alias(f"m{i}"), F.col("inner").alias(f"i{i}"))
+        for i in (1, 2)
+    )
+    weight = F.col("m1") * F.col("m2") * F.col("weight")
+    between = pairs.select(SAMPLE, "src1", "src2", "weight").join(one, [SAMPLE, "src1"]).join(other, [SAMPLE, "src2"])
+    alike = (
+        one.where("i1 > 0").withColumnRenamed("src1", "cls").join(other.withColumnRenamed("src2", "cls"), [SAMPLE, "cls"])
+        .where("u1 < u2 OR u1 = u2 AND m1 > 1")
+    )
+    inside = F.when(F.col("u1") < F.col("u2"), F.col("m1") * F.col("m2")).otherwise(F.col("m1") * (F.col("m1") - 1) / 2)
+    named = (SAMPLE, F.col("u1").alias("src1"), F.col("u2").alias("src2"))
+    return between.select(*named, weight.alias("weight")).unionByName(
+        alike.select(*named, (inside * F.col("i1")).alias("weight"))
+    )
+
+
+def _split(member: DataFrame, gain: DataFrame, resolution: float) -> DataFrame:
+    """``member`` with a part of each unit in ``gain`` as a unit of its own, about as large as gains most by its move.
+
+    ``t`` of ``m`` nodes alike gain ``t * g + t * (t - 1) * b`` if one gains ``g``. ``b`` is below 0, or the
+    whole unit would have gained.
+    """
+    one = F.col("k") / F.col("m")
+    b = resolution * one * one / F.col("m2") - F.col("inner")
+    t = F.when(b > 0, F.round((F.col("gain") * F.col("m2") / 2 / b + 1) / 2)).otherwise(F.col("m") / 2)
+    share = F.least(F.greatest(t, F.lit(1.0)), F.col("m") - 1) / F.col("m")
+    at = member.withColumn("h", F.xxhash64("id"))
+    ends = (
+        at.join(gain.select(SAMPLE, "u", share.alias("share")), [SAMPLE, "u"]).groupBy(SAMPLE, "u")
+        .agg(
+            # The node that names the unit stays; at least one other leaves.
+            F.min(F.when(F.col("id") != F.col("u"), F.col("h"))).cast("double").alias("lo"),
+            F.max("h").cast("double").alias("hi"),
+            F.any_value("share").alias("share"),
+        )
+    )
+    cut = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("share")
+    off = F.coalesce((F.col("id") != F.col("u")) & (F.col("h").cast("double") <= cut), F.lit(False))
+    marked = at.join(F.broadcast(ends) if fits_broadcast(ends) else ends, [SAMPLE, "u"], "left").withColumn("off", off)
+    new = marked.where("off").groupBy(SAMPLE, "u").agg(F.max(F.struct("h", "id")).alias("last"))
+    new = new.select(SAMPLE, "u", F.lit(True).alias("off"), F.col("last.id").alias("to"))
+    return marked.join(F.broadcast(new) if fits_broadcast(new) else new, [SAMPLE, "u", "off"], "left").select(
+        SAMPLE, "id", "cls", "inner", F.coalesce("to", "u").alias("u"), F.col("u").alias("was")
+    )
+
+
+def class_labels(pairs: DataFrame, member: DataFrame, resolution: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """As ``labels``, for nodes in classes: adjacency and units ``sample_id, u, c, k, m2, m``, as stored tables.
+
+    ``member`` is as from ``list_classes``, ``pairs`` the links between classes. The nodes of a class move
+    together, as a unit of ``m`` nodes, until no unit moves or merges. Where a single node of a unit would
+    still gain, the part of the unit that gains most becomes a unit, and the search goes on. So at the end
+    no move of a single node raises modularity, without the links of a class being laid out.
+    """
+    scratch = Scratch(pairs.sparkSession, "units")
+    pairs = scratch.keep(pairs)
+    member = scratch.keep(member.withColumn("u", F.col("cls")))
+    size = (F.count("*").alias("m"), F.any_value("inner").alias("inner"))
+    units = scratch.keep(member.groupBy(SAMPLE, "cls", "u").agg(*size))
+    nodes = units.select(SAMPLE, F.col("u").alias("id"))
+    while True:
+        adj, found = labels(_links(pairs, units), nodes, resolution, seed)
+        found = scratch.keep(found.join(units.select(SAMPLE, "u", "m", "inner"), [SAMPLE, "u"]))
+        best = move_gains(adj, found, resolution).groupBy(SAMPLE, "u").agg(F.max("gain").alias("gain"))
+        gain = scratch.keep(best.where("gain > 0").join(found.where("m > 1"), [SAMPLE, "u"]))
+        if gain.isEmpty():
+            return adj, found
+        member = scratch.keep(_split(member, gain, resolution))
+        units = scratch.keep(member.groupBy(SAMPLE, "cls", "u").agg(*size, F.any_value("was").alias("was")))
+        place = found.select(SAMPLE, F.col("u").alias("was"), "c")
+        nodes = units.join(place, [SAMPLE, "was"]).select(SAMPLE, F.col("u").alias("id"), "c")
 
 
 def clusters(edges: DataFrame, nodes: DataFrame, resolution: float = 0.2, seed: int = 1000) -> DataFrame:
@@ -200,20 +278,27 @@ def move_gains(adj: DataFrame, state: DataFrame, resolution: float) -> DataFrame
     """What modularity gains by each move of a node to a neighbouring cluster, ``u, to, gain``.
 
     Taken as a difference of whole sums, apart from the search, so that a labelling can be checked.
+    Of a unit of ``m`` nodes one moves.
     """
+    m = F.col("m") if "m" in state.columns else F.lit(1)
     lv = state.select(SAMPLE, F.col("u").alias("v"), F.col("c").alias("to"))
     mass = state.groupBy(SAMPLE, "c").agg(F.sum("k").alias("kc"))
     weight = adj.where("u <> v").join(lv, [SAMPLE, "v"]).groupBy(SAMPLE, "u", "to").agg(F.sum("a").alias("w"))
     own = state.join(weight.withColumnRenamed("to", "c").withColumnRenamed("w", "w0"), [SAMPLE, "u", "c"], "left")
-    at = own.join(mass, [SAMPLE, "c"])
+    # What stays behind of the node's own unit.
+    rest = adj.where("u = v").groupBy(SAMPLE, "u").agg(F.sum("a").alias("wu"))
+    at = own.join(mass, [SAMPLE, "c"]).join(rest, [SAMPLE, "u"], "left")
+    own_unit = F.coalesce("wu", F.lit(0.0)) if "m" in state.columns else F.lit(0.0)
+    w0 = (F.coalesce("w0", F.lit(0.0)) + own_unit) / m
     there = mass.select(SAMPLE, F.col("c").alias("to"), F.col("kc").alias("kt"))
-    k, m2, kc, kt = (F.col(x) for x in ("k", "m2", "kc", "kt"))
+    m2, kc, kt = (F.col(x) for x in ("m2", "kc", "kt"))
+    k = F.col("k") / m
 
     def inside(w, total):
         return 2 * w - resolution * total * total / m2
 
-    before = inside(F.lit(0.0), kt) + inside(F.coalesce("w0", F.lit(0.0)), kc)
-    after = inside(F.col("w"), kt + k) + inside(F.lit(0.0), kc - k)
+    before = inside(F.lit(0.0), kt) + inside(w0, kc)
+    after = inside(F.col("w") / m, kt + k) + inside(F.lit(0.0), kc - k)
     moves = weight.join(at, [SAMPLE, "u"]).where("to <> c").join(there, [SAMPLE, "to"])
     return moves.select(SAMPLE, "u", "to", F.round((after - before) / m2, DECIMALS).alias("gain"))
 

@@ -515,3 +515,24 @@ def shared_neighbours(knn: DataFrame, k: int, prune: float, hub_rows: int = 512)
         .select(SAMPLE, "src1", "src2", c.cast("bigint").alias("shared"), weight.alias("weight"))
         .where(F.col("weight") >= prune)
     )
+
+
+def list_classes(knn: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``sample_id, id, cls, inner`` of every node: nodes alike in the shared-neighbour graph share ``cls``.
+
+    Rows with the same list that are in nobody's list share the same members with everyone, and with each
+    other all but themselves, ``inner`` by the Jaccard index. So the links of one, ``cls``, stand for those
+    of all. Any other node is a class of its own.
+    """
+    lists = knn.groupBy(SAMPLE, F.col("src").alias("id")).agg(F.sort_array(F.collect_list("dst")).alias("nbrs"))
+    named = knn.select(SAMPLE, F.col("dst").alias("id")).distinct()
+    free = checkpoint(lists.join(named, [SAMPLE, "id"], "left_anti"))
+    last = F.max(F.struct(F.xxhash64("id").alias("h"), "id")).alias("last")
+    same = free.groupBy(SAMPLE, "nbrs").agg(last, F.count("*").alias("_n")).where("_n > 1")
+    size = F.size("nbrs")
+    alike = free.join(sized(same, 50_000), [SAMPLE, "nbrs"]).select(
+        SAMPLE, "id", F.col("last.id").alias("cls"), (size / (size + 2)).alias("inner")
+    )
+    return nodes.select(SAMPLE, "id").join(alike, [SAMPLE, "id"], "left").select(
+        SAMPLE, "id", F.coalesce("cls", "id").alias("cls"), F.coalesce("inner", F.lit(0.0)).alias("inner")
+    )

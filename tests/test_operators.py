@@ -571,6 +571,50 @@ def test_clusters_are_a_local_optimum(spark):
         assert abs(cluster.modularity(cluster.adjacency(df), found, resolution).first().q - q) < 1e-9
 
 
+def test_nodes_alike_are_clustered_by_one_of_them(spark):
+    near = [("s", i, j) for i in range(21) for j in range(21) if i != j]
+    near += [("s", i, j) for i in range(21, 400) for j in range(20)]
+    near += [("s", i, j) for i in range(400, 430) for j in range(i % 7, i % 7 + 12)]
+    knn = spark.createDataFrame(near, "sample_id string, src bigint, dst bigint")
+    nodes = spark.range(431).select(F.lit("s").alias("sample_id"), "id")
+    member = neighbours.list_classes(knn, nodes)
+    one = member.where("id = cls").select("sample_id", F.col("id").alias("src"))
+    pairs = neighbours.shared_neighbours(knn.join(one, ["sample_id", "src"], "left_semi"), 20, 1 / 15)
+    assert one.count() == 21 + 1 + 7 + 1 and pairs.count() < 435
+    adj, units = cluster.class_labels(pairs, member, 0.2, 1000)
+    assert units.agg(F.sum("m")).first()[0] == 431
+    cls = {r.id: r.cls for r in member.collect()}
+    at = {r.u: r.c for r in units.collect()}
+    found = spark.createDataFrame([("s", i, at[cls[i]]) for i in cls], "sample_id string, u bigint, c bigint")
+    whole = cluster.adjacency(neighbours.shared_neighbours(knn, 20, 1 / 15))
+    q = cluster.modularity(whole, found, 0.2).first().q
+    assert abs(cluster.modularity(adj, units, 0.2).first().q - q) < 1e-9
+    state = cluster._nodes(whole, nodes).drop("c").join(found, ["sample_id", "u"])
+    assert cluster.move_gains(whole, state, 0.2).where("gain > 0").isEmpty()
+
+
+def test_a_class_is_split_where_one_of_its_nodes_would_gain(spark):
+    split = 0
+    for resolution in (2.0,):
+        pairs = [(9, i, 1.0) for i in range(10, 20)]
+        member = [(i, 9, 20 / 22) for i in range(6, 10)] + [(i, i, 0.0) for i in range(10, 20)]
+        alike = [i for i, c, _ in member if c == 9]
+        edges = [(a, b, w) for i, b, w in pairs for a in (alike if i == 9 else [i])]
+        edges += [(a, b, 20 / 22) for a in alike for b in alike if a < b]
+        df = spark.createDataFrame([("s", *e) for e in pairs], "sample_id string, src1 bigint, src2 bigint, weight double")
+        of = spark.createDataFrame([("s", *m) for m in member], "sample_id string, id bigint, cls bigint, inner double")
+        _, units = cluster.class_labels(df, of, resolution, 1000)
+        left, label = {c: [i for i, x, _ in member if x == c] for _, c, _ in member}, {}
+        for u in units.collect():
+            # Nodes of a class are alike, so any of them may stand for the unit's.
+            own = left[9] if u.u in alike else left[u.u]
+            label |= {own.pop(): u.c for _ in range(u.m)}
+            split += u.u in alike and u.m < len(alike)
+        q, gain = plain_gains(edges, label, resolution)
+        assert gain <= 1e-9 and len(label) == len(member)
+    assert split
+
+
 def test_scaling_is_the_dense_z_score(spark):
     dense = np.array([[3, 0, 1], [0, 0, 4], [5, 2, 0], [1, 1, 1]], dtype=float)
     data = [("s", f"c{i}", j, int(dense[i, j])) for i in range(4) for j in range(3) if dense[i, j]]
