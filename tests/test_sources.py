@@ -188,3 +188,25 @@ def test_a_failed_write_leaves_what_was_published(spark, tmp_path):
     assert {r.run for r in published.current_runs(spark, path).collect()} == {second, third}
     published.publish(one.limit(0), path)
     assert read() == want
+
+
+def test_counts_dealt_by_cell_are_summed_and_stored_without_another_shuffle(spark):
+    from dropsieve.session import store_bucketed
+
+    rows = spark.range(4000).selectExpr("concat('s', id % 2) sample_id", "concat('b', id % 50) barcode", "id % 7 f", "id n")
+    dealt = rows.repartition(5, "sample_id", "barcode").groupBy("sample_id", "barcode", "f").agg(F.sum("n").alias("n"))
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    stored = store_bucketed(dealt, "dealt", ["sample_id", "barcode"], 5, dealt=True)
+    assert len(stored.inputFiles()) <= 5
+    per = stored.groupBy("sample_id", "barcode").agg(F.sum("n").alias("n"))
+    assert "Exchange" not in per._jdf.queryExecution().executedPlan().toString()
+    assert stored.count() == 350 and stored.agg(F.sum("n")).first()[0] == 4000 * 3999 // 2
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="provided tables not here")
+def test_orders_meet_their_cells_before_the_lines(spark):
+    from dropsieve.plans.views import Views
+
+    plan = Views(spark, "/root/testdata/sf0.001").lines._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    top = next(x for x in plan if "Join" in x)
+    assert "l_orderkey" in top and "c_custkey" not in top
