@@ -20,10 +20,13 @@ FEATURE = [SAMPLE, "feature_id"]
 
 
 def log_normalise(counts: DataFrame, cells: DataFrame, p: EmbedParams) -> DataFrame:
-    """``ln(1 + n / total * scale)`` per triplet; zeros stay absent."""
+    """``ln(1 + n / total * scale)`` per triplet; zeros stay absent.
+
+    Triplets meet a hash of their cells; those of a table bucketed by cell are neither shuffled nor sorted.
+    """
     totals = cells.select(*CELL, "n_count")
     x = F.log1p(F.try_divide(F.col("n") * p.scale_factor, F.col("n_count")))
-    return counts.join(totals, CELL).select(*CELL, "feature_id", "n", x.alias("x"))
+    return counts.join(totals.hint("shuffle_hash"), CELL).select(*CELL, "feature_id", "n", x.alias("x"))
 
 
 def cells_per_sample(cells: DataFrame) -> DataFrame:
@@ -190,7 +193,7 @@ def marker_expression(cells: DataFrame, normalised: DataFrame, features: DataFra
     keys = [c for c in (SAMPLE, "feature_id") if c in features.columns]
     place = F.col("ord") if "ord" in features.columns else F.col("feature_id")
     named = features.where(F.col("feature_name") == name).select(*keys, place.alias("_place"))
-    axis = normalised.select(*FEATURE).distinct().join(named, keys)
+    axis = normalised.select(*FEATURE).join(sized(named), keys).distinct()
     first = F.min_by("feature_id", F.struct("_place", "feature_id")).alias("feature_id")
     known = axis.groupBy(SAMPLE).agg(first)
     values = normalised.join(F.broadcast(known) if fits_broadcast(known) else known, FEATURE)

@@ -115,6 +115,38 @@ def test_bucketed_counts_need_no_shuffle(spark):
     assert cells.surviving_counts(table, 3).count() == 20
 
 
+def test_bucketed_counts_meet_their_cells_and_rare_features_where_they_are(spark):
+    from dropsieve.sources.sinks import write_bucketed_counts
+
+    counts = small_counts(spark).union(spark.createDataFrame([("s", "c0", "zero", 0), ("s", "c1", None, 4)], "a string, b string, f string, n bigint"))
+    write_bucketed_counts(counts, "bucketed_counts_rare", 4)
+    table = spark.table("bucketed_counts_rare")
+    p = QCParams(load_min_features=3, load_min_cells=3)
+    axis = cells.feature_axis(table, p)
+    kept = cells.kept_counts(table, p, axis)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Window" not in plan and "Exchange hashpartitioning" not in plan
+    assert kept.count() == 18 and cells.kept_features(table, p, axis).count() == 3
+    every = QCParams(load_min_features=3, load_min_cells=0)
+    assert {r.feature_id for r in cells.kept_features(table, every).collect()} - {None} == {"g0", "g1", "g2", "rare"}
+    assert cells.kept_counts(table, every, axis).count() == 20
+    feats = table.select("feature_id", F.col("feature_id").alias("feature_name")).where("feature_id is not null").distinct()
+    plan = normalise.log_normalise(table, cells.cell_metrics(table, feats, p, axis), EmbedParams())
+    assert "SortMergeJoin" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_rare_features_are_not_broadcast(spark, monkeypatch):
+    from dropsieve.functions import sizing
+
+    p = QCParams(load_min_features=3, load_min_cells=3)
+    want = rows(cells.kept_counts(small_counts(spark), p))
+    axis = cells.feature_axis(small_counts(spark), p)
+    monkeypatch.setattr(sizing, "fits_bytes", lambda df, max_bytes=0: False)
+    kept = cells.kept_counts(small_counts(spark), p, axis)
+    assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert rows(kept) == want and len(want) == 18
+
+
 # Attaching
 
 
@@ -204,6 +236,15 @@ def barcode_rows(spark, sets):
     return spark.createDataFrame(data, "sample_id string, call_set string, barcode string, ord bigint")
 
 
+def test_reads_of_a_tag_may_come_as_numbers(spark):
+    a = spark.createDataFrame(
+        [("s", "a", "N", 3), ("s", "a", "E", 1), ("s", "a", "N", 0), ("s", "b", "I", 2), ("s", "c", "N", 0)],
+        "sample_id string, cb string, re string, reads bigint",
+    )
+    got = {r.cell_barcode: r.nuclear_fraction for r in nuclear.nuclear_fraction(a).collect()}
+    assert got == {"a": 0.75, "b": None, "c": None}
+
+
 def test_droplet_counts_without_denoised_set(spark):
     b = barcode_rows(spark, {"raw": "abcd", "filtered": "a"})
     assert rows(droplets.droplet_counts(b)) == [
