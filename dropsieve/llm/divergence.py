@@ -37,9 +37,9 @@ from dropsieve.llm.common import (
 )
 
 SCALE = 1_000_000_000
-FLUSH = 3 << 20  # bytes of text counted together in a task
-HELD_ROWS = 200_000  # rows of frequent chunks a task adds up before it sends them on
-FREQUENT = 8  # occurrences in one flush
+FLUSH = 8 << 20  # bytes of text counted together in a task
+HELD_ROWS = 500_000  # rows of frequent chunks a task adds up before it sends them on
+FREQUENT = 2  # occurrences in one flush
 FILTER_BITS = 27
 TILE = 1024  # sources of a language that are compared at once
 
@@ -59,21 +59,27 @@ def _groups(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def strings(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
-    """The spans of ``buf`` as strings."""
-    size = end - start
-    off = np.zeros(len(size) + 1, np.int64)
-    np.cumsum(size, out=off[1:])
-    data = pa.py_buffer(np.ascontiguousarray(gather(buf, start, size)))
-    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(off), data)
+    """The spans of ``buf``, which do not overlap and lie in order, as strings."""
+    off = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=off[1:])
+    step = np.zeros(len(buf) + 1, np.int8)
+    step[start] += 1
+    step[end] -= 1
+    inside = np.cumsum(step[:-1], dtype=np.int8).view(bool)
+    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(off), pa.py_buffer(buf[inside]))
 
 
 def _per_document(spans: pa.Array, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Text, code and count of each distinct string of each text, and the strings of the codes."""
     coded = spans.dictionary_encode()
     code, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
-    width = max(len(names), 1)
+    return *_distinct(text, code, len(names)), names
+
+
+def _distinct(text: np.ndarray, code: np.ndarray, codes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    width = max(codes, 1)
     pair, n = np.unique(text * width + code, return_counts=True)
-    return pair // width, pair % width, n, names
+    return pair // width, pair % width, n
 
 
 def _codes(*columns: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
@@ -157,10 +163,17 @@ def _new(*columns: pa.Array) -> np.ndarray:
 
 
 def _merged(t: pa.Table) -> pa.Table:
-    """Sorted rows of the same chunk and group added up."""
-    at = _new(*(_column(t, c) for c in COUNTED.names[:3]))
-    cols = [_column(t, c).take(pa.array(at)) for c in COUNTED.names[:3]]
-    cols += [pa.array(np.add.reduceat(_column(t, c).to_numpy(), at)) for c in ("n", "docs")]
+    """Rows of the same group in a run of a chunk added up, those of a language next to each other."""
+    run = np.zeros(len(t), np.int64)
+    run[_new(_column(t, "chunk"))[1:]] = 1
+    key = np.cumsum(run)
+    for c in ("lang", "source"):
+        coded = _column(t, c).dictionary_encode()
+        key = key * max(len(coded.dictionary), 1) + coded.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    cols = [_column(t, c).take(pa.array(order[first])) for c in COUNTED.names[:3]]
+    cols += [pa.array(np.add.reduceat(_column(t, c).to_numpy()[order], first)) for c in ("n", "docs")]
     return pa.Table.from_arrays(cols, schema=COUNTED)
 
 
@@ -170,7 +183,7 @@ TERMS = pa.schema(
 
 
 def _terms_of(t: pa.Table) -> pa.RecordBatch:
-    """Merged rows of whole chunks, their counts handed to the terms of the chunk.
+    """Merged rows of whole runs of chunks, their counts handed to the terms of the chunk.
 
     ``docs`` are the documents of chunk and language, on the first of its sources; 0 on the others.
     """
@@ -202,8 +215,10 @@ def _terms_of(t: pa.Table) -> pa.RecordBatch:
 def term_counts(chunks: DataFrame) -> DataFrame:
     """lang, source, term, n and docs from all counts of ``chunks``; a chunk is cut once.
 
-    The rows of a chunk arrive one after the other; a chunk in every part and group of the input has
-    one row of each, and those seen are added up at once.
+    The rows of a chunk arrive one after the other, by a hash of it: a number is sorted without comparing
+    rows. Rows of two chunks of equal hash may alternate; then each of their runs hands on counts of its
+    own. Those still add up, and the largest is still no more than the documents of the chunk.
+    A chunk in every part and group of the input has one row of each, and those seen are added up at once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,19 +234,19 @@ def term_counts(chunks: DataFrame) -> DataFrame:
         if len(held):
             yield _terms_of(held.combine_chunks())
 
-    placed = chunks.repartition("chunk").sortWithinPartitions("chunk", "lang", "source")
+    placed = chunks.repartition("chunk").sortWithinPartitions(F.xxhash64("chunk"))
     schema = "lang string, source string, term string, n long, docs long"
     return arrow_map(placed, run, schema, batch_rows=20_000)
 
 
-def _marks(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lang: np.ndarray) -> np.ndarray:
-    """Places in the filter of terms, given hashes of their languages."""
-    return mix(span_hash(byte_prefix(buf), start, end) ^ lang) >> U(64 - FILTER_BITS)
+def _marks(term: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """Places in the filter of terms, given hashes of them and of their languages."""
+    return mix(term ^ mix(lang)) >> U(64 - FILTER_BITS)
 
 
 def _hashes(col: pa.Array) -> np.ndarray:
     buf, off = texts(col)
-    return mix(span_hash(byte_prefix(buf), off[:-1], off[1:]))
+    return span_hash(byte_prefix(buf), off[:-1], off[1:])
 
 
 def _filter(terms: DataFrame) -> np.ndarray:
@@ -239,8 +254,7 @@ def _filter(terms: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            buf, off = texts(b.column("term"))
-            m = _marks(buf, off[:-1], off[1:], _hashes(b.column("lang"))).astype(np.int64)
+            m = _marks(_hashes(b.column("term")), _hashes(b.column("lang"))).astype(np.int64)
             bit = (U(1) << (m & 63).astype(np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(m >> 6), pa.array(bit)], ["word", "bits"])
 
@@ -261,9 +275,12 @@ def documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
             buf = LOWER[buf]
             start, end, text = runs(LETTER[buf], off)
             lang = _column(t, "lang")
-            m = _marks(buf, start, end, _hashes(lang)[text])
+            # A term is hashed once a flush, however often it occurs.
+            coded = strings(buf, start, end).dictionary_encode()
+            code, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+            m = _marks(_hashes(names)[code], _hashes(lang)[text])
             hit = known[(m >> U(6)).astype(np.int64)] >> (m & U(63)) & U(1) == 1
-            text, code, _, names = _per_document(strings(buf, start[hit], end[hit]), text[hit])
+            text, code, _ = _distinct(text[hit], code[hit], len(names))
             of, (langs,) = _codes(lang)
             width = max(len(names), 1)
             key, n = np.unique(of[text] * width + code, return_counts=True)

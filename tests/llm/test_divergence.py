@@ -84,5 +84,28 @@ def test_unsure_terms_are_counted(spark):
     assert sorted(map(tuple, kept)) == [("en", "s", "word", 12)]
 
 
+def test_chunks_of_equal_hash_may_alternate(spark, monkeypatch):
+    """Rows of a chunk need not be in one run, nor those of a group side by side."""
+    monkeypatch.setattr(divergence.F, "xxhash64", lambda c: F.length(c) * 0)
+    rows = [("a.", "en", "s"), ("b", "en", "s"), ("a.", "fr", "s"), ("a.", "en", "t"), ("b", "en", "s"), ("a.", "en", "s")]
+    chunks = spark.createDataFrame([(*r, 2, 1) for r in rows * 3], "chunk string, lang string, source string, n long, docs long")
+    got = divergence.term_counts(chunks.coalesce(1)).groupBy("lang", "source", "term").agg(F.sum("n"), F.sum("docs"))
+    sums = {tuple(r)[:4] for r in got.collect()}
+    assert sums == {("en", "s", "a", 12), ("en", "t", "a", 6), ("fr", "s", "a", 6), ("en", "s", "b", 12)}
+
+
+def test_a_task_adds_up_what_it_sees_twice(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "FLUSH", 1)
+    docs = spark.createDataFrame([(i, "twice twice once" + str(i), "en", "s") for i in range(50)], COLUMNS)
+    found = divergence.chunk_counts(docs.coalesce(1)).where("chunk = 'twice'").collect()
+    assert [(r.n, r.docs) for r in found] == [(100, 50)]
+
+
+def test_spans_as_strings():
+    buf = divergence.np.frombuffer(b"ab cdefg", divergence.np.uint8)
+    got = divergence.strings(buf, divergence.np.array([0, 3, 5]), divergence.np.array([2, 5, 8]))
+    assert got.to_pylist() == ["ab", "cd", "efg"]
+
+
 def test_nothing(spark):
     assert divergence.audit(spark.createDataFrame([], COLUMNS)).count() == 0
