@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dropsieve.llm.cache import kept
+from dropsieve.llm.cache import codec
 from dropsieve.llm.common import arrow_map, gather, hex_column, parts, per_text
 from dropsieve.llm.pieces import PieceIds
 
@@ -202,11 +202,12 @@ class Decoder:
 
 def _codec(path: str) -> tuple[PieceIds, Decoder]:
     """Of a Python worker: it outlives tasks, and so do the pieces it knows."""
-    key = "bpe", path
-    if key not in kept():
+
+    def made() -> tuple[PieceIds, Decoder]:
         ranks = read_ranks(path)
-        kept()[key] = PieceIds(Encoder(ranks).encode_many, room=500_000), Decoder(ranks)
-    return kept()[key]
+        return PieceIds(Encoder(ranks).encode_many, room=500_000), Decoder(ranks)
+
+    return codec(("bpe", path), made)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -228,7 +229,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                     [b.column("doc_id").slice(i, j - i), col], ["doc_id", "ids"]
                 )
 
-    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>")
+    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>", with_codec=True)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -242,7 +243,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 [b.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "bytes"]
             )
 
-    return arrow_map(encoded.select("doc_id", "ids"), run, "doc_id long, bytes binary")
+    return arrow_map(encoded.select("doc_id", "ids"), run, "doc_id long, bytes binary", with_codec=True)
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -275,4 +276,5 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         docs.select(F.col("doc_id").cast("long"), "text"),
         run,
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+        with_codec=True,
     )

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dropsieve.llm.cache import kept
+from dropsieve.llm.cache import codec
 from dropsieve.llm.common import arrow_map, drop, gather, parts, stored
 from dropsieve.llm.pieces import PieceIds
 
@@ -140,10 +140,8 @@ def token_pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = "packing", path
-        if key not in kept():
-            kept()[key] = PieceIds(piece_encoder(path))
-        known, added = kept()[key], added_tokens(path)
+        known = codec(("packing", path), lambda: PieceIds(piece_encoder(path)))
+        added = added_tokens(path)
         for b in batches:
             for i, j, buf, off in parts(b.column("text")):
                 ids, at = text_ids(known, added, buf, off)
@@ -176,6 +174,7 @@ def token_pieces(
         docs.select(F.col("doc_id").cast("long"), "text"),
         run,
         schema + (", ids array<int>" if keep_ids else ""),
+        with_codec=True,
     )
 
 

@@ -4,7 +4,10 @@ import re
 from collections import defaultdict
 
 import corpus_pipeline
+import pyarrow as pa
 from dropsieve.llm import rules
+from dropsieve.llm.cache import kept
+from dropsieve.llm.common import arrow_map
 from tests.llm.test_text_ops import WORD, brute_components, brute_packing, measured, own_words
 
 
@@ -60,3 +63,14 @@ def test_stages(spark, odd, odd_rows, tmp_path):
 def test_stages_keep_the_columns(spark, odd, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, odd, str(tmp_path)).columns == odd.columns
+
+
+def test_workers_give_up_the_codec_of_an_earlier_stage(spark, odd, tmp_path):
+    def left(batches):
+        for b in batches:
+            n = sum("packing" in str(k) or k == "codec" for k in kept())
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    corpus_pipeline.pack_sequences(spark, odd, str(tmp_path)).collect()
+    rows = spark.range(16).repartition(16)
+    assert sum(r["n"] for r in arrow_map(rows, left, "n long").collect()) == 0
