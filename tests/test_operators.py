@@ -147,6 +147,23 @@ def test_many_rare_features_are_not_broadcast(spark, monkeypatch):
     assert rows(kept) == want and len(want) == 18
 
 
+def test_cell_sizes_are_taken_once_and_buckets_stay_small(spark):
+    from dropsieve.functions.scalars import SAMPLE
+    from dropsieve.plans.views import QC, Views
+
+    v = Views(spark, "/root/testdata/sf0.001")
+    for df in (v.barcodes, v.alignments):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "sizes_" in plan and "counts_" not in plan
+    per_cell = v.counts.groupBy(SAMPLE, "barcode").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("f"))
+    got = v.sizes.select(SAMPLE, "barcode", "n", F.col("n_detected").alias("f"))
+    assert rows(got) == rows(per_cell) and got.count() > 0
+    assert rows(cells.feature_axis(v.counts, QC, v.sizes)) == rows(cells.feature_axis(v.counts, QC))
+    large = Views(spark, "")
+    large._tables["lineitem"] = spark.range(4_000_000)
+    assert 4_000_000 // large.buckets <= 250_000
+
+
 # Attaching
 
 
