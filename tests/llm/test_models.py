@@ -215,3 +215,57 @@ def test_top_k_of_products_beyond_a_double(spark):
     large = spark.createDataFrame([(1, [1e300])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="more than 64 bits"):
         topk.top_k(large, "vec_id = 1").collect()
+
+
+def test_top_k_copies_no_block_for_a_pair(spark, monkeypatch):
+    plans = []
+
+    def kept(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    stored = topk.stored
+    monkeypatch.setattr(topk, "stored", kept)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(0, 1, 8).round(1).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(df, "vec_id % 5 = 0", k=5).collect())) == brute_top(rows, 5)
+    (meeting,) = (plan for _, plan in plans if "Join" in plan or "CartesianProduct" in plan)
+    assert "CartesianProduct" in meeting and "Generate" not in meeting and "Broadcast" not in meeting
+
+
+def test_top_k_of_many_blocks(spark, monkeypatch):
+    for name, value in (("BLOCK", 7), ("PART_BLOCKS", 2), ("TILE_QUERIES", 3), ("TILE_ROWS", 4), ("FIRST_ROWS", 2)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(4)
+    sizes = [(0.1, 16), (1, 16), (300, 16), (1e6, 16), (1, 3)]  # of components: two, four and eight bytes a component
+    rows = [(i, (rng.normal(0, s, w)).round(2).tolist()) for i in range(240) for s, w in [sizes[i % 5 if i % 3 else 1]]]
+    rows += [(300 + i, rows[7][1]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    assert sorted(map(tuple, topk.top_k(df, "vec_id % 5 = 0", k=5).collect())) == brute_top(rows, 5)
+
+
+@pytest.mark.parametrize("kind", ["alike", "spread", "means", "ties", "large"])
+def test_blocks_meet_in_any_order(monkeypatch, kind):
+    monkeypatch.setattr(topk, "TILE_QUERIES", 16)
+    monkeypatch.setattr(topk, "TILE_ROWS", 64)
+    monkeypatch.setattr(topk, "FIRST_ROWS", 8)
+    used, worth = set(), topk.worth
+    monkeypatch.setattr(topk, "worth", lambda *a: used.add(tuple(worth(*a))) or worth(*a))
+    rng = np.random.default_rng(5)
+    d = rng.normal(0, 30, (600, 64))
+    d *= {"spread": np.exp(rng.normal(0, 2, (600, 1))), "large": 2.0**24}.get(kind, 1.0)
+    d = np.repeat(d[:15], 40, axis=0) if kind == "ties" else d
+    d = d * 0.1 + rng.choice([-100, 0, 100], (600, 1)) if kind == "means" else d
+    d, ids = np.floor(d).astype(np.int64), np.sort(rng.choice(5000, 600, replace=False))
+    asked = np.arange(0, 600, 12)
+    best, q = topk.Best(len(asked), 5), topk.Block(ids[asked], d[asked])
+    part = rng.integers(0, 3, 600)
+    for p in (2, 0, 1):
+        topk.meet(best, q, topk.Block(ids[part == p], d[part == p]))
+    products = d[asked].astype(object) @ d.T.astype(object)
+    for n, i in enumerate(asked):
+        want = sorted((-products[n, j], ids[j]) for j in range(600) if j != i)[:5]
+        assert [(-int(s), v) for s, v in zip(best.products[n], best.ids[n])] == want
+    if kind in ("spread", "means"):
+        assert any(used)  # bounds left out rows
